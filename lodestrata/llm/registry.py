@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, secret_scan, sentence_pieces, token_files
+from . import embedding_dedup, exact_dedup, language_id, minhash_dedup, secret_scan, sentence_pieces, token_files
 
 
 def queries() -> dict:
     return {
         "op1_secret_scan": secret_scan.op1_secret_scan,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+        "op3_minhash_dedup": minhash_dedup.op3_minhash_dedup,
         "op5_sentencepiece": sentence_pieces.op5_sentencepiece,
+        "op6_embedding_dedup": embedding_dedup.op6_embedding_dedup,
         "op8_token_files": token_files.op8_token_files,
         "op9_language_id": language_id.op9_language_id,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.OP2_SQL}
+    return {"op2_exact_dedup": exact_dedup.OP2_SQL, "op3_minhash_dedup": minhash_dedup.OP3_SQL, "op6_embedding_dedup": embedding_dedup.OP6_SQL}
