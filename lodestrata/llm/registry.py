@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, exact_dedup, language_id, minhash_dedup, secret_scan, sentence_pieces, token_files
+from . import embedding_dedup, exact_dedup, language_id, minhash_dedup, mixing, secret_scan, sentence_pieces, token_files, warc
 
 
 def queries() -> dict:
@@ -12,10 +12,12 @@ def queries() -> dict:
         "op3_minhash_dedup": minhash_dedup.op3_minhash_dedup,
         "op5_sentencepiece": sentence_pieces.op5_sentencepiece,
         "op6_embedding_dedup": embedding_dedup.op6_embedding_dedup,
+        "op7_warc": warc.op7_warc,
         "op8_token_files": token_files.op8_token_files,
         "op9_language_id": language_id.op9_language_id,
+        "op10_mixing": mixing.op10_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.OP2_SQL, "op3_minhash_dedup": minhash_dedup.OP3_SQL, "op6_embedding_dedup": embedding_dedup.OP6_SQL}
+    return {"op2_exact_dedup": exact_dedup.OP2_SQL, "op3_minhash_dedup": minhash_dedup.OP3_SQL, "op6_embedding_dedup": embedding_dedup.OP6_SQL, "op7_warc": warc.OP7_SQL}
