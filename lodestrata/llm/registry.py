@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, exact_dedup, language_id, minhash_dedup, mixing, secret_scan, sentence_pieces, token_files, warc
+from . import embedding_dedup, exact_dedup, language_id, minhash_dedup, mixing, pii, secret_scan, sentence_pieces, token_files, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_secret_scan": secret_scan.op1_secret_scan,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_minhash_dedup": minhash_dedup.op3_minhash_dedup,
+        "op4_pii": pii.op4_pii,
         "op5_sentencepiece": sentence_pieces.op5_sentencepiece,
         "op6_embedding_dedup": embedding_dedup.op6_embedding_dedup,
         "op7_warc": warc.op7_warc,
