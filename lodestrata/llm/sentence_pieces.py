@@ -2,8 +2,8 @@
 
 A text's symbols are merged by a score-ordered agenda: all adjacent pairs that form a piece wait in a heap, best score
 first and then leftmost; the best one is merged and its new neighbours join the agenda.  Symbols that are no piece fall
-back to their bytes.  No piece of such a vocabulary has the space mark behind another character, so that a run of space
-marks with what follows it is encoded alone.  Each chunk that a worker hasn't met yet is encoded by the agenda and, in the
+back to their bytes.  No piece of such a vocabulary has the space mark behind another character or a line end beside one,
+so that a run of space marks, or a line end, is encoded alone with what follows it.  Each chunk that a worker hasn't met yet is encoded by the agenda and, in the
 same Arrow batch, by the sentencepiece library; the two must agree.
 """
 
@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 from .shared import small_batches, steps, strings, worker_state
 
 SPACE = "▁"
-CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|^[^{SPACE}]+")
+CHUNK = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n[^{SPACE}\n]*")
 #: Piece types of the model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Chunks that a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 400_000, 48
+REMEMBERED, LONGEST = 600_000, 48
 
 
 @dataclass(frozen=True)
@@ -79,8 +79,8 @@ def read_vocabulary(model: bytes) -> Vocabulary:
             if spec.get(2) or not spec.get(3, 1) or spec.get(4, 1) or not spec.get(5, 1):
                 raise ValueError("only models with identity normalisation, a leading space mark and kept spaces")
     mergeable = {p: i for i, (p, t) in enumerate(zip(pieces, types, strict=True)) if t in (NORMAL, USER_DEFINED, UNUSED)}
-    if any(SPACE in p.lstrip(SPACE) for p in mergeable) or USER_DEFINED in types or UNUSED in types:
-        raise ValueError("pieces with inner space marks, user-defined or unused pieces aren't supported")
+    if any(SPACE in p.lstrip(SPACE) or ("\n" in p and len(p) > 1) for p in mergeable) or USER_DEFINED in types or UNUSED in types:
+        raise ValueError("pieces with inner space marks or line ends, user-defined or unused pieces aren't supported")
     byte = tuple(i for i, t in enumerate(types) if t == BYTE)
     return Vocabulary(tuple(pieces), tuple(types), {p: scores[i] for p, i in mergeable.items()}, mergeable, byte, types.index(UNKNOWN))
 
@@ -90,7 +90,8 @@ def encode_chunk(chunk: str, vocabulary: Vocabulary) -> list[int]:
     score = vocabulary.score
     symbols: list[str] = list(chunk)
     n = len(symbols)
-    agenda = [(-score[pair], i, i + 1, len(pair)) for i in range(n - 1) if (pair := symbols[i] + symbols[i + 1]) in score]
+    pairs = [chunk[i : i + 2] for i in range(n - 1)]
+    agenda = [(-score[pair], i, i + 1, 2) for i, pair in enumerate(pairs) if pair in score]
     if agenda:
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heapq.heapify(agenda)
@@ -152,25 +153,32 @@ class Encoder:
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.known: dict[str, tuple[int, str, str]] = {}
         self.differ = 0
+        self.numeral = [str(i) for i in range(len(self.vocabulary.pieces))]
+        self.plain = [p.replace(SPACE, " ") if t == NORMAL else None for p, t in zip(self.vocabulary.pieces, self.vocabulary.types, strict=True)]
 
     def _learn(self, chunks: list[str]) -> dict[str, tuple[int, str, str]]:
-        """Chunks are given without their first space mark."""
+        """Chunks are given without their first space mark; those that begin with a line end have none."""
         checks = self.library.encode(chunks, num_threads=1)
-        new = {}
+        vocabulary, numeral, plain = self.vocabulary, self.numeral, self.plain
+        new, mark = {}, encode_chunk(SPACE, vocabulary)
         for chunk, check in zip(chunks, checks, strict=True):
-            ids = encode_chunk(SPACE + chunk, self.vocabulary)
+            if chunk[:1] == "\n":
+                ids, check = encode_chunk(chunk, vocabulary), check[len(mark) :]
+            else:
+                ids = encode_chunk(SPACE + chunk, vocabulary)
             if chunk and ids != check:  # the library drops an empty text, which is a chunk of one mark here
                 self.differ += 1
                 ids = check
-            new[chunk] = (len(ids), ",".join(map(str, ids)), decode_ids(ids, self.vocabulary, begins=False))
+            texts = [plain[i] for i in ids]
+            new[chunk] = (len(ids), ",".join([numeral[i] for i in ids]), decode_ids(ids, vocabulary, begins=False) if None in texts else "".join(texts))
         return new
 
     def chunks(self, text: str) -> list[str]:
         if not text:
             return []
         if SPACE in text or "  " in text or text[0] == " " or text[-1] == " ":
-            return [c[1:] for c in CHUNK.findall(SPACE + text.replace(" ", SPACE))]
-        return text.split(" ")
+            return [c[1:] if c[0] == SPACE else c for c in CHUNK.findall(SPACE + text.replace(" ", SPACE))]
+        return text.replace("\n", " \n").split(" ")
 
     def encode(self, texts: list[str]) -> list[list[tuple[int, str, str]]]:
         cut = [self.chunks(t) for t in texts]
