@@ -79,31 +79,38 @@ def _link(cosine: float):
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, "tile"):
-            guest, b, w = table["guest"].to_numpy(), int(table["block"][0].as_py()), int(table["width"][0].as_py())
+            table = table.sort_by("guest")  # those at home come first
+            b, w = int(table["block"][0].as_py()), int(table["width"][0].as_py())
+            cross, part = bool(table["cross"][0].as_py()), table["part"].to_numpy()
             names, copies = table["vec_id"].to_numpy(), table["copies"].to_numpy()
-            part = table["part"].to_numpy()
+            home, n = int((table["guest"].to_numpy() == 0).sum()), len(names)
             unit = _unit(_vectors(table["vector"]))
-            turned, spans, budgets = unit @ rotation(w), edges_of(w), _budgets(w, cosine) + ROUNDING
-            n = len(names)
+            turned, spans, budgets = unit @ rotation(w), edges_of(w), _budgets(w, cosine)
+            x, y = spans[b]
+            # |p - q|^2 <= budget as one product: p.q - |p|^2/2 - |q|^2/2 >= -budget/2, in single precision with room.
+            own = turned[:, x:y].astype(np.float32)
+            half = (own * own).sum(axis=1, keepdims=True) / 2
+            one = np.ones_like(half)
+            left, right = np.hstack([own, -half, one]), np.hstack([own, one, -half])
+            least_product = np.float32(-(budgets[b] + 10 * ROUNDING) / 2)
             none = np.zeros(0, np.int64)
             counts, us, vs = np.zeros(n, np.int64), [none], [none]
-            cross = bool(table["cross"][0].as_py())
-            squares = [(turned[:, x:y] ** 2).sum(axis=1) for x, y in spans]
-            step = max(1, 4_000_000 // n)
-            for lo in range(0, n, step):
-                hi = min(n, lo + step)
-                ahead = np.arange(lo, hi)[:, None] < np.arange(n)[None, :]
-                ahead &= (guest[lo:hi, None] + guest[None, :]) < 2  # two guests meet where they are at home
-                if cross:
-                    ahead &= part[lo:hi, None] != part[None, :]
-                for k in range(b + 1):
-                    x, y = spans[k]
-                    near = squares[k][lo:hi, None] + squares[k][None, :] - 2 * turned[lo:hi, x:y] @ turned[:, x:y].T <= budgets[k]
-                    ahead &= near if k == b else ~near
-                u, v = np.nonzero(ahead)
-                u = u + lo
-                for at in range(0, len(u), 500_000):
-                    p, q = u[at : at + 500_000], v[at : at + 500_000]
+            step = max(1, 2_000_000 // n)
+            for lo in range(0, home, step):
+                hi = min(home, lo + step)
+                near = np.flatnonzero(left[lo:hi] @ right[lo:].T >= least_product)
+                for at in range(0, len(near), 500_000):
+                    p, q = np.divmod(near[at : at + 500_000], n - lo)
+                    p, q = p + lo, q + lo
+                    fit = p < q
+                    if cross:
+                        fit &= part[p] != part[q]
+                    p, q = p[fit], q[fit]
+                    gap = turned[p] - turned[q]
+                    for k, (begin, end) in enumerate(spans[: b + 1]):  # the first block within its budget takes the pair
+                        inside = (gap[:, begin:end] ** 2).sum(axis=1) <= budgets[k] + ROUNDING
+                        fit = inside if k == b else ~inside
+                        p, q, gap = p[fit], q[fit], gap[fit]
                     true = (unit[p] * unit[q]).sum(axis=1) >= cosine
                     p, q = p[true], q[true]
                     counts += np.bincount(p, copies[q], n).astype(np.int64) + np.bincount(q, copies[p], n).astype(np.int64)
