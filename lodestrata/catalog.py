@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from .plans import aggregates, functions, ingestion, joins, metrics, objects, quality, sources, tables
+from .plans.registry import QUERIES, SQL
+
+MODULES = (sources, objects, joins, aggregates, metrics, functions, tables, ingestion, quality)
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
