@@ -82,7 +82,7 @@ def write_archives(pages: DataFrame, path: str, url: str = "url", html: str = "h
         F.col("revisit"), _record(F.lit("revisit"), own, uri, "application/http; msgtype=response", http, declared, refers, F.lit(f"WARC-Profile: {PROFILE}"), date=date)
     ).otherwise(_record(F.lit("response"), own, uri, "application/http; msgtype=response", F.concat(http, F.col("body")), declared, date=date))
     with_it = F.concat(F.lit("WARC-Concurrent-To: "), own)
-    host = F.coalesce(F.parse_url(uri, F.lit("HOST")), F.lit("")) if hasattr(F, "try_parse_url") is False else F.coalesce(F.try_parse_url(uri, F.lit("HOST")), F.lit(""))
+    host = F.coalesce(F.try_parse_url(uri, F.lit("HOST")), F.lit(""))
     request = _record(F.lit("request"), _urn("request", F.col("page_id"), uri, digest), uri, "application/http; msgtype=request", F.concat(F.lit("GET "), uri, F.lit(f" HTTP/1.1{END}Host: "), host, F.lit(END * 2)), with_it, date=date)
     fields = F.concat(F.lit("page-id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(END))
     metadata = _record(F.lit("metadata"), _urn("metadata", F.col("page_id"), uri, digest), uri, "application/warc-fields", fields, with_it, date=date)
@@ -191,7 +191,9 @@ def archive_pages(pages: DataFrame, path: str, **columns) -> DataFrame:
     no rows; other columns are not read, so their names can't clash.
     """
     write_archives(pages, path, **columns)
-    return page_captures(keep(assemble(read_archives(pages.sparkSession, path, with_content=False).select(*[c for c in _NAMES if c not in ("http_head", "content_type", "date")])), "captures"))
+    thin = [c for c in _NAMES if c not in ("http_head", "content_type", "date")]
+    records = keep(read_archives(pages.sparkSession, path, with_content=False).select(*thin), "records")  # each file is walked once
+    return page_captures(keep(assemble(records), "captures"))
 
 
 def op7_warc(spark, sf_dir: str) -> DataFrame:
