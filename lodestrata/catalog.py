@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from .plans import aggregates, functions, ingestion, joins, metrics, objects, quality, sources, tables
+from .plans import aggregates, functions, governance, ingestion, joins, metrics, modelling, objects, quality, sources, tables
 from .plans.registry import QUERIES, SQL
 
-MODULES = (sources, objects, joins, aggregates, metrics, functions, tables, ingestion, quality)
+MODULES = (sources, objects, joins, aggregates, metrics, functions, tables, ingestion, modelling, quality, governance)
 
 
 def queries() -> dict:
