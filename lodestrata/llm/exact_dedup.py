@@ -7,6 +7,9 @@ deals the stored keys anew.  Deletion empties the slot of a verified hit.
 
 On a cluster the digests are dealt to buckets.  Each input split first folds its own copies in an index of its own, so
 that a text with a third of all rows sends at most a few rows from each split; the bucket's index then folds those.
+
+Groups of several rows are then verified by their content: only their texts are read again, and the least and the greatest
+text of each digest, combined before the shuffle, must be equal.
 """
 
 from __future__ import annotations
@@ -17,10 +20,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import keep
+
 SLOTS = 4
 MAX_MOVES = 200
 #: A split's own index is emptied when it holds so many digests.
 SPLIT_DIGESTS = 100_000
+#: A table of digests of so many rows at most (about 20 MB) may be broadcast.
+SMALL_ROWS = 400_000
 GROUPS = "digest binary, bytes long, keep_id long, n long"
 
 
@@ -170,16 +177,32 @@ def update_index(index: DataFrame, inserted: DataFrame, deleted: DataFrame) -> D
     return rows.repartition(buckets, "digest").mapInArrow(_apply, GROUPS)
 
 
+def verified(groups: DataFrame, contents: DataFrame) -> DataFrame:
+    """``groups`` whose texts are equal; two texts with one digest stop the job.
+
+    ``contents`` has digest and content of all rows.  Those of single rows are left out by a broadcast of the repeated
+    digests if these are few, and else by a join.
+    """
+    repeated = groups.filter("n > 1").select("digest")
+    few = repeated.count() <= SMALL_ROWS
+    candidates = contents.join(F.broadcast(repeated) if few else repeated, "digest", "left_semi")
+    equal = candidates.groupBy("digest").agg(F.min("content").alias("low"), F.max("content").alias("high")).select("digest", (F.col("low") == F.col("high")).alias("equal"))
+    checked = groups.join(equal, "digest", "left")
+    return checked.withColumn("keep_id", F.when(F.coalesce("equal", F.lit(True)), F.col("keep_id")).otherwise(F.raise_error(F.lit("two texts have one digest")).cast("long"))).drop("equal")
+
+
 def find_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", normalised: Column | None = None) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256`` for every row.
 
-    Null counts as empty, and all empty texts are one group.  Texts of any length are compared whole, by digest and
-    length.  Of equal texts the largest id stays; repeated rows with one id are copies that all count, and all of them
+    Null counts as empty, and all empty texts are one group.  Texts of any length are compared whole, by digest, length
+    and content.  Of equal texts the largest id stays; repeated rows with one id are copies that all count, and all of them
     are ``kept`` if that id stays.  A null id yields to any other.  An empty table gives no rows; other columns are not
     read, so their names can't clash.
     """
     keys = content_keys(docs, text, doc_id, normalised)
-    groups = build_index(keys).select("digest", "keep_id", F.col("n").alias("group_size"))
+    content = F.coalesce(F.col(text).cast("string"), F.lit("")) if normalised is None else normalised
+    contents = docs.select(F.unhex(F.sha2(content, 256)).alias("digest"), content.alias("content"))
+    groups = verified(keep(build_index(keys), "index"), contents).select("digest", "keep_id", F.col("n").alias("group_size"))
     return keys.join(groups, "digest").select("doc_id", "keep_id", "group_size", F.expr("doc_id <=> keep_id").alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 

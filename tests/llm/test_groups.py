@@ -72,6 +72,15 @@ def test_exact_copies(spark):
     assert XD.find_copies(docs.limit(0)).count() == 0
 
 
+def test_contents_are_verified(spark):
+    """Two texts that are given one digest stop the job."""
+    groups = spark.createDataFrame([(b"d", 1, 2, 2), (b"e", 1, 3, 1)], XD.GROUPS)
+    contents = lambda *texts: spark.createDataFrame([(b"d", t) for t in texts] + [(b"e", "z")], "digest binary, content string")
+    assert XD.verified(groups, contents("a", "a")).count() == 2
+    with pytest.raises(Exception, match="one digest"):
+        XD.verified(groups, contents("a", "b")).collect()
+
+
 def test_index_updates(spark):
     keys = lambda rows: XD.content_keys(spark.createDataFrame(rows, "doc_id long, text string"))
     index = XD.build_index(keys([(1, "a"), (2, "b"), (3, "a")]))
