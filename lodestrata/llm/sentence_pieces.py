@@ -25,7 +25,7 @@ CHUNK = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n[^{SPACE}\n]*")
 #: Piece types of the model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Chunks that a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 600_000, 48
+REMEMBERED, LONGEST = 250_000, 48
 
 
 @dataclass(frozen=True)
