@@ -11,6 +11,7 @@ them, ``before`` is the number of ids of the same part before the block, ``paylo
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -119,11 +120,16 @@ class Block:
         return self.ids[self.ends[i - 1] if i else 0 : self.ends[i]]
 
 
+#: Signs behind a word, up to the next white space.  A tokenizer that cuts words from signs has the same ids with a blank
+#: between them; only ASCII is looked at, where a sign is certain to be one.
+TAIL = re.compile(rb"(?<=[a-z0-9])([.,!?;:*#%&$]+)(?=[\x20\x09-\x0D]|$)")
+
+
 class WordEncoder:
     """Ids of texts by the tokenizers library, word by word.
 
-    The tokenizer cuts at white space before it merges, so that a text's ids are those of its words.  That is checked on
-    loading; with another tokenizer whole texts go to the library.
+    The tokenizer cuts at white space, and words from signs, before it merges, so that a text's ids are those of its words
+    and signs.  That is checked on loading; with another tokenizer whole texts go to the library.
     """
 
     def __init__(self, definition: str):
@@ -136,7 +142,7 @@ class WordEncoder:
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.known: dict[bytes, bytes] = {}
         probe = ["The\tquick  brown", "fox's 12\n3", "Über", "été", "...  !"]
-        apart = [i for t in probe for w in t.split() for i in self._ids([w])[0]]
+        apart = [i for t in probe for w in TAIL.sub(rb" \1", t.lower().encode()).decode().split() for i in self._ids([w])[0]]
         self.by_word = apart == [i for ids in self._ids(probe) for i in ids] == self._ids([" ".join(probe)])[0] == self._ids([" ".join(probe).lower()])[0]
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -150,7 +156,7 @@ class WordEncoder:
         if not self.by_word:
             return self._bytes(texts)
         # Letters A to Z are lowered before; a special token would only be met in its own spelling.
-        cut = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        cut = [t.split() if b"<|" in t else TAIL.sub(rb" \1", t.lower()).split() for t in texts]
         new = set().union(*cut).difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
             self.known = {}
