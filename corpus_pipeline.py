@@ -1,7 +1,9 @@
 """A training corpus from raw documents: each stage reads what the stage before it has written.
 
-Each stage takes (spark, docs, sf_dir) and works on all rows that it is given; all but the last return the columns of
-``documents``.
+Each stage takes (spark, docs, sf_dir) and works on all rows that it is given; all but the last return the columns that
+they were given.  Null and empty texts leave with the first stage.  Rows without an id are never dropped as copies.  Rows
+that repeat an id stay or go together.  An empty table passes through all stages as one.  Further columns stay as they
+are; a stage's own columns take names that aren't there yet.
 """
 
 from __future__ import annotations
@@ -26,10 +28,16 @@ def _joined(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if ids.count() <= SMALL_ROWS else ids, "doc_id", how)
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognisable language go: those without text or without a letter."""
-    judge = predictor(docs, fit(docs))
-    return docs.withColumn("_language", judge("text")).filter(F.col("_language.lang_pred") != UNKNOWN).select(*docs.columns)
+    judge, own = predictor(docs, fit(docs)), _unused(docs, "_language")
+    return docs.withColumn(own, judge("text")).filter(F.col(own)["lang_pred"] != UNKNOWN).select(*docs.columns)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +56,10 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Each document appears as often as the mix takes its words; a part of its words counts as a chance drawn by its id."""
     taken = mix(docs).taken().filter("size > 0")
     chance = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    times = taken.groupBy("doc_id").agg(F.floor(F.max(F.col("taken") / F.col("size")) + F.first(chance)).cast("int").alias("_times")).filter("_times > 0")
-    return _joined(docs, times, "inner").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    own = _unused(docs, "_times")
+    times = taken.groupBy("doc_id").agg(F.floor(F.max(F.col("taken") / F.col("size") + chance)).cast("int").alias(own)).filter(F.col(own) > 0)
+    copies = F.explode(F.sequence(F.lit(1), F.col(own))).alias(_unused(docs, "_copy"))
+    return _joined(docs, times, "inner").select(*docs.columns, copies).select(*docs.columns)
 
 
 def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

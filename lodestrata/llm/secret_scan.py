@@ -9,8 +9,6 @@ into exact spans by each rule's own small automata.
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
