@@ -63,10 +63,12 @@ def t_merge(s, d):
     return log.read()
 
 
-@query("t_truncate", f"select * from {B} where false")
+@query("t_truncate", f"select * from {DELTA}")
 def t_truncate(s, d):
+    """Nothing is left of the old rows when new ones come."""
     log = orders_log(s, d)
     log.truncate(AT[1])
+    log.merge(delta(s, d), AT[2])
     return log.read()
 
 
