@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import keep
+from .shared import keep, lean
 
 SLOTS = 4
 MAX_MOVES = 200
@@ -148,9 +148,9 @@ def buckets_for(rows: int, spark, rows_a_bucket: int = 400_000) -> int:
 def build_index(keys: DataFrame) -> DataFrame:
     """One row for each live digest: ``digest, bytes, keep_id, n``, dealt by digest."""
     one = keys.select("digest", "bytes", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("n"))
-    folded = one.mapInArrow(_fold(SPLIT_DIGESTS), GROUPS)
+    folded = one.mapInArrow(lean(_fold(SPLIT_DIGESTS)), GROUPS)
     buckets = buckets_for(keys.count(), keys.sparkSession)
-    return folded.repartition(buckets, "digest").mapInArrow(_fold(None), GROUPS)
+    return folded.repartition(buckets, "digest").mapInArrow(lean(_fold(None)), GROUPS)
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import blobs, padded, small_batches, steps
+from .shared import blobs, lean, padded, small_batches, steps, trim
 
 UNKNOWN = "und"
 #: n-gram lengths in bytes of folded text.
@@ -91,7 +91,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
         return LanguageModel((), slots, np.zeros(0))
     share = F.create_map(*[F.lit(x) for k in names for x in (k, max_docs / counts[k])])
     sample = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003).select("text", "lang")
-    per = sample.mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    per = sample.mapInArrow(lean(_count_grams), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = {r["lang"]: r["n"] for r in per.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     if not totals:
         return LanguageModel((), slots, np.zeros(0))
@@ -123,7 +123,7 @@ def classify(parts: list[bytes], model: LanguageModel) -> tuple[list[str], list[
     n_lang, bits = len(model.languages), int(len(model.slots)).bit_length() - 1
     width = model.slots.dtype.itemsize * 8
     hits, seen, letters = np.zeros((len(parts), n_lang)), np.zeros(len(parts)), np.zeros(len(parts), bool)
-    for lo, hi in steps([len(p) for p in parts], 1 << 20):
+    for lo, hi in steps([len(p) for p in parts], 1 << 19):
         buffer, starts, _ = padded(parts[lo:hi], PAD)
         folded = FOLD[buffer]
         edges = np.append(starts - len(PAD), len(folded))
@@ -162,6 +162,7 @@ def predictor(docs: DataFrame, model: LanguageModel):
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def judge(texts: pa.Array) -> pa.Array:
         lang, score = classify(blobs(texts), LanguageModel(*shipped.value))
+        trim()
         return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"])
 
     return judge

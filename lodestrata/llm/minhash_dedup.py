@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components, runs, tiles
-from .shared import blobs, keep, local_components, padded, small_batches, steps
+from .shared import blobs, keep, lean, local_components, padded, small_batches, steps
 
 WORDS = 5
 BANDS, BAND_ROWS = 20, 5
@@ -220,7 +220,7 @@ def _verify(percent: int):
 
 
 def _by_tile(rows: DataFrame, work) -> DataFrame:
-    return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(work, "u long, v long")
+    return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(lean(work), "u long, v long")
 
 
 def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 85) -> DataFrame:
@@ -235,11 +235,11 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", per
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    signed = keep(rows.mapInArrow(_sign, SIGNED), "signed")
+    signed = keep(rows.mapInArrow(lean(_sign), SIGNED), "signed")
     linkable = signed.filter("n_shingles > 0 and doc_id is not null")
     same = linkable.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
     nodes = keep(linkable.join(same, ["digest", "doc_id"], "left_semi").select("doc_id", "signature").dropDuplicates(["doc_id", "signature"]), "nodes")
-    bands = nodes.mapInArrow(_band_keys, "key long, doc_id long")
+    bands = nodes.mapInArrow(lean(_band_keys), "key long, doc_id long")
     buckets = bands.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("least"), F.bit_xor(F.xxhash64("doc_id")).alias("mark")).filter("n > 1")
     buckets = buckets.groupBy("n", "least", "mark").agg(F.min("key").alias("key")).select("key", "n")
     met = tiles(bands.join(buckets, "key"), "key", "doc_id", "n", TILE_ROWS).select("tile", "doc_id")
@@ -250,7 +250,7 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", per
     dealt = keep(dealt.groupBy("doc_id").agg(F.collect_list("tile").alias("tiles")), "tiles")
     few = dealt.count() <= SMALL_ROWS
     chosen = rows.join(F.broadcast(dealt) if few else dealt, "doc_id").select("doc_id", "text", "tiles")
-    links = _by_tile(chosen.mapInArrow(_emit_sets, "tile long, doc_id long, shingles binary"), _verify(percent))
+    links = _by_tile(chosen.mapInArrow(lean(_emit_sets), "tile long, doc_id long, shingles binary"), _verify(percent))
     found = components(links)
     root = same.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("digest", F.coalesce("component", "doc_id").alias("root"))
     out = signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest")).join(root, "digest", "left")

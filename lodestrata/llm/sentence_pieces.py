@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small_batches, steps, strings, worker_state
+from .shared import small_batches, steps, strings, trim, worker_state
 
 SPACE = "▁"
 CHUNK = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n[^{SPACE}\n]*")
@@ -203,13 +203,14 @@ def piece_columns(spark, model: bytes):
         encoder = worker_state(f"pieces-{hashlib.sha256(model).hexdigest()}", lambda: Encoder(model))
         rows = strings(texts)
         counts, ids, decoded, differ = [], [], [], []
-        for lo, hi in steps([len(t) for t in rows]):
+        for lo, hi in steps([len(t) for t in rows], 1 << 19):
             for own in encoder.encode(rows[lo:hi]):
                 counts.append(sum([x[0] for x in own]))
                 ids.append(",".join([x[1] for x in own]))
                 decoded.append("".join([x[2] for x in own])[1:])
                 differ.append(0)
             differ[lo:hi] = [encoder.differ] * (hi - lo)
+        trim()
         return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string()), pa.array(differ, pa.int64())], ["n_tokens", "ids", "decoded", "n_differ"])
 
     return pieces
