@@ -2,12 +2,13 @@
 
 A page becomes three records: the response (or a revisit, if an earlier page has the same payload), the request and a
 metadata record, the last two concurrent to the first.  Spark's text writer writes them: a WARC record ends with two line
-ends, which is the line separator here, so the part files are plain WARC files.  Reading walks each file by the lengths
-in the headers, so that no payload can be mistaken for a header.
+ends, which is the line separator here, so the part files are WARC files, each one gzip member unless compression is
+"none".  Reading walks each file by the lengths in the headers, so that no payload can be mistaken for a header.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -57,7 +58,7 @@ def _urn(role: str, page_id: Column, uri: Column, digest: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *cut), F.lit(">"))
 
 
-def write_archives(pages: DataFrame, path: str, url: str = "url", html: str = "html", page_id: str = "page_id", date: str = "2024-01-01T00:00:00Z", least_bytes: int = LEAST_BYTES) -> None:
+def write_archives(pages: DataFrame, path: str, url: str = "url", html: str = "html", page_id: str = "page_id", date: str = "2024-01-01T00:00:00Z", least_bytes: int = LEAST_BYTES, compression: str = "gzip") -> None:
     """Write the pages as WARC files.  Null html is an empty payload, a null url an empty one.
 
     Of pages whose payloads are equal and have at least ``least_bytes`` bytes, the one with the least id holds the payload
@@ -87,7 +88,7 @@ def write_archives(pages: DataFrame, path: str, url: str = "url", html: str = "h
     fields = F.concat(F.lit("page-id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(END))
     metadata = _record(F.lit("metadata"), _urn("metadata", F.col("page_id"), uri, digest), uri, "application/warc-fields", fields, with_it, date=date)
     records = joined.select(F.explode(F.array(request, capture, metadata)).alias("value"))
-    records.write.option("lineSep", END * 2).option("maxRecordsPerFile", RECORDS_A_FILE).text(path)
+    records.write.option("lineSep", END * 2).option("maxRecordsPerFile", RECORDS_A_FILE).option("compression", compression).text(path)
 
 
 def walk(data: memoryview, with_content: bool) -> Iterator[tuple]:
@@ -138,8 +139,10 @@ def read_archives(spark, path: str, with_content: bool = True) -> DataFrame:
         kinds = [pa.string(), pa.string(), pa.list_(pa.string()), *[pa.string()] * 6, pa.int64(), pa.string(), pa.binary()]
         for batch in batches:
             for content in batch["content"]:
-                held, size = [], 0
-                for row in walk(memoryview(content.as_buffer()), with_content):
+                held, size, data = [], 0, memoryview(content.as_buffer())
+                if data[:2] == b"\x1f\x8b":  # of one member or many
+                    data = memoryview(gzip.decompress(data))
+                for row in walk(data, with_content):
                     held.append(row)
                     size += len(row[-1] or b"")
                     if len(held) >= 2000 or size > 4 << 20:
