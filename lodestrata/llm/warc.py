@@ -140,7 +140,7 @@ def read_archives(spark, path: str, with_content: bool = True) -> DataFrame:
         for batch in batches:
             for content in batch["content"]:
                 held, size, data = [], 0, memoryview(content.as_buffer())
-                if data[:2] == b"\x1f\x8b":  # of one member or many
+                if bytes(data[:2]) == b"\x1f\x8b":  # of one member or many
                     data = memoryview(gzip.decompress(data))
                 for row in walk(data, with_content):
                     held.append(row)
