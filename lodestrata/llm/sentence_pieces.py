@@ -3,7 +3,8 @@
 A text's symbols are merged by a score-ordered agenda: all adjacent pairs that form a piece wait in a heap, best score
 first and then leftmost; the best one is merged and its new neighbours join the agenda.  Symbols that are no piece fall
 back to their bytes.  No piece of such a vocabulary has the space mark behind another character or a line end beside one,
-so that a run of space marks, or a line end, is encoded alone with what follows it.  Each chunk that a worker hasn't met yet is encoded by the agenda and, in the
+so that a run of space marks, or a line end, is encoded alone with what follows it.  Signs that no piece has behind a
+letter are cut from the words before them.  Each chunk that a worker hasn't met yet is encoded by the agenda and, in the
 same Arrow batch, by the sentencepiece library; the two must agree.
 """
 
@@ -24,6 +25,8 @@ SPACE = "▁"
 CHUNK = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n[^{SPACE}\n]*")
 #: Piece types of the model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
+#: Signs that may be cut from words, and what marks such a chunk: no text of UTF-8 has it.
+SIGNS, CUT = ".,!?;:*#%&$", "\ud800"
 #: Chunks that a worker remembers, and the longest of them.
 REMEMBERED, LONGEST = 250_000, 48
 
@@ -153,17 +156,24 @@ class Encoder:
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.known: dict[str, tuple[int, str, str]] = {}
         self.differ = 0
+        signs = [s for s in SIGNS if not any(re.search(f"[A-Za-z]{re.escape(s)}", p) for p in self.vocabulary.number)]
+        self.tail = re.compile(rf"(?<=[A-Za-z])([{re.escape(''.join(signs))}]+)(?=[ \n]|\Z)") if signs else re.compile("(?!)()")
         self.numeral = [str(i) for i in range(len(self.vocabulary.pieces))]
         self.plain = [p.replace(SPACE, " ") if t == NORMAL else None for p, t in zip(self.vocabulary.pieces, self.vocabulary.types, strict=True)]
 
     def _learn(self, chunks: list[str]) -> dict[str, tuple[int, str, str]]:
-        """Chunks are given without their first space mark; those that begin with a line end have none."""
-        checks = self.library.encode(chunks, num_threads=1)
+        """Chunks are given without their first space mark; line ends and signs that were cut have none.
+
+        The library begins with a space mark; signs are given to it behind a letter.
+        """
+        checks = self.library.encode(["a" + c[1:] if c[:1] == CUT else c for c in chunks], num_threads=1)
         vocabulary, numeral, plain = self.vocabulary, self.numeral, self.plain
-        new, mark = {}, encode_chunk(SPACE, vocabulary)
+        new, mark, letter = {}, encode_chunk(SPACE, vocabulary), encode_chunk(SPACE + "a", vocabulary)
         for chunk, check in zip(chunks, checks, strict=True):
             if chunk[:1] == "\n":
                 ids, check = encode_chunk(chunk, vocabulary), check[len(mark) :]
+            elif chunk[:1] == CUT:
+                ids, check = encode_chunk(chunk[1:], vocabulary), check[len(letter) :]
             else:
                 ids = encode_chunk(SPACE + chunk, vocabulary)
             if chunk and ids != check:  # the library drops an empty text, which is a chunk of one mark here
@@ -178,7 +188,7 @@ class Encoder:
             return []
         if SPACE in text or "  " in text or text[0] == " " or text[-1] == " ":
             return [c[1:] if c[0] == SPACE else c for c in CHUNK.findall(SPACE + text.replace(" ", SPACE))]
-        return text.replace("\n", " \n").split(" ")
+        return self.tail.sub(f" {CUT}\\1", text).replace("\n", " \n").split(" ")
 
     def encode(self, texts: list[str]) -> list[list[tuple[int, str, str]]]:
         cut = [self.chunks(t) for t in texts]
