@@ -28,7 +28,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Signs that may be cut from words, and what marks such a chunk: no text of UTF-8 has it.
 SIGNS, CUT = ".,!?;:*#%&$", "\ud800"
 #: Chunks that a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 250_000, 48
+REMEMBERED, LONGEST = 400_000, 48
 
 
 @dataclass(frozen=True)
@@ -147,21 +147,24 @@ def decode_ids(ids: list[int], vocabulary: Vocabulary, begins: bool = True) -> s
 
 
 class Encoder:
-    """Encodes batches of texts and remembers chunks as (number of ids, ids as text, decoded text)."""
+    """Encodes batches of texts and remembers chunks.
+
+    A chunk's ids are remembered as text, and with them what they decode to where that isn't the chunk itself.
+    """
 
     def __init__(self, model: bytes):
         import sentencepiece
 
         self.vocabulary = read_vocabulary(model)
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.known: dict[str, tuple[int, str, str]] = {}
+        self.known: dict[str, str | tuple[str, str]] = {}
         self.differ = 0
         signs = [s for s in SIGNS if not any(re.search(f"[A-Za-z]{re.escape(s)}", p) for p in self.vocabulary.number)]
         self.tail = re.compile(rf"(?<=[A-Za-z])([{re.escape(''.join(signs))}]+)(?=[ \n]|\Z)") if signs else re.compile("(?!)()")
         self.numeral = [str(i) for i in range(len(self.vocabulary.pieces))]
         self.plain = [p.replace(SPACE, " ") if t == NORMAL else None for p, t in zip(self.vocabulary.pieces, self.vocabulary.types, strict=True)]
 
-    def _learn(self, chunks: list[str]) -> dict[str, tuple[int, str, str]]:
+    def _learn(self, chunks: list[str]) -> dict[str, str | tuple[str, str]]:
         """Chunks are given without their first space mark; line ends and signs that were cut have none.
 
         The library begins with a space mark; signs are given to it behind a letter.
@@ -180,7 +183,10 @@ class Encoder:
                 self.differ += 1
                 ids = check
             texts = [plain[i] for i in ids]
-            new[chunk] = (len(ids), ",".join([numeral[i] for i in ids]), decode_ids(ids, vocabulary, begins=False) if None in texts else "".join(texts))
+            decoded = decode_ids(ids, vocabulary, begins=False) if None in texts else "".join(texts)
+            written = ",".join([numeral[i] for i in ids])
+            same = decoded == self._text(chunk)
+            new[chunk] = written if same else (written, decoded)
         return new
 
     def chunks(self, text: str) -> list[str]:
@@ -190,18 +196,30 @@ class Encoder:
             return [c[1:] if c[0] == SPACE else c for c in CHUNK.findall(SPACE + text.replace(" ", SPACE))]
         return self.tail.sub(f" {CUT}\\1", text).replace("\n", " \n").split(" ")
 
-    def encode(self, texts: list[str]) -> list[list[tuple[int, str, str]]]:
+    def encode(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """Number of ids, ids joined by commas, and decoded text of each text."""
         cut = [self.chunks(t) for t in texts]
         new = set().union(*cut).difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
             self.known = {}
             new = set().union(*cut)
-        learned = self._learn(list(new))
-        self.known.update((k, v) for k, v in learned.items() if len(k) <= LONGEST)
-        both = self.known if all(len(k) <= LONGEST for k in new) else {**self.known, **learned} if len(learned) > 1000 else None
-        if both is None:
-            return [[learned.get(k) or self.known[k] for k in own] for own in cut]
-        return [list(map(both.__getitem__, own)) for own in cut]
+        self.known.update(self._learn(list(new)))
+        get, out = self.known.__getitem__, []
+        for text, own in zip(texts, cut, strict=True):
+            found = list(map(get, own))
+            try:
+                ids, decoded = ",".join(found), text.replace(SPACE, " ")  # what the ids of every chunk decode to
+            except TypeError:
+                ids = ",".join([x if type(x) is str else x[0] for x in found])
+                decoded = "".join([self._text(k) if type(x) is str else x[1] for k, x in zip(own, found, strict=True)])[1:]
+            out.append((ids.count(",") + 1 if ids else 0, ids, decoded))
+        for chunk in new:
+            if len(chunk) > LONGEST:
+                del self.known[chunk]
+        return out
+
+    def _text(self, chunk: str) -> str:
+        return chunk[1:] if chunk[:1] == CUT else chunk if chunk[:1] == "\n" else " " + chunk
 
 
 def piece_columns(spark, model: bytes):
@@ -214,12 +232,11 @@ def piece_columns(spark, model: bytes):
         rows = strings(texts)
         counts, ids, decoded, differ = [], [], [], []
         for lo, hi in steps([len(t) for t in rows], 1 << 19):
-            for own in encoder.encode(rows[lo:hi]):
-                counts.append(sum([x[0] for x in own]))
-                ids.append(",".join([x[1] for x in own]))
-                decoded.append("".join([x[2] for x in own])[1:])
-                differ.append(0)
-            differ[lo:hi] = [encoder.differ] * (hi - lo)
+            for n, own, text in encoder.encode(rows[lo:hi]):
+                counts.append(n)
+                ids.append(own)
+                decoded.append(text)
+            differ += [encoder.differ] * (hi - lo)
         trim()
         return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string()), pa.array(differ, pa.int64())], ["n_tokens", "ids", "decoded", "n_differ"])
 
