@@ -1,11 +1,11 @@
 """Personal data and the terms that reveal it, with DataFrame functions only.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers.  Each value found is a protected entity.  A term
-that stands near an entity in several documents, and hardly anywhere else in the corpus, reveals it: with p(c) and p(t)
-the shares of documents that hold entity c and term t, their pointwise mutual information is compared with the entity's
-information content -log2 p(c), as in Sanchez and Batet's C-sanitisation (2016).  A ratio of 1 means that whoever reads
-the term knows the entity.  In the documents that hold the entity, terms over ``remove_at`` are removed and terms over
-``generalise_at`` are replaced by their class.
+that stands in several documents of an entity, and hardly anywhere else in the corpus, reveals it: with p(c), p(t) and
+p(c, t) the shares of documents that hold entity c, term t and both, their pointwise mutual information is compared with
+the entity's information content -log2 p(c), as in Sanchez and Batet's C-sanitisation (2016).  A ratio of 1 means that
+whoever reads the term knows the entity.  In the documents that hold the entity, terms over ``remove_at`` are removed
+and terms over ``generalise_at`` are replaced by their class.
 """
 
 from __future__ import annotations
@@ -96,39 +96,49 @@ def _tester(check):
     return lambda s: check(s["value"])
 
 
-def _context(text: Column, window: int):
-    reach = 20 * window  # characters from which the words are taken
+def _words(text: Column) -> Column:
+    return F.array_distinct(F.filter(F.split(F.lower(text), NOT_WORD), lambda w: w != ""))
 
-    def near(span: Column) -> Column:
-        left = F.greatest(F.lit(0), span["begin"] - reach)
-        before = F.split(F.lower(F.substring(text, left + 1, span["begin"] - left)), NOT_WORD)
-        after = F.split(F.lower(F.substring(text, span["end"] + 1, F.lit(reach))), NOT_WORD)
-        # a word cut by the reach is no word of the text
-        before = F.when(left > 0, F.slice(before, F.lit(2), F.size(before))).otherwise(before)
-        after = F.when(span["end"] + reach < F.length(text), F.slice(after, F.lit(1), F.size(after) - 1)).otherwise(after)
-        words = F.concat(F.reverse(F.slice(F.reverse(F.filter(before, lambda w: w != "")), 1, window)), F.slice(F.filter(after, lambda w: w != ""), 1, window))
-        return F.struct(F.concat(span["kind"], F.lit(":"), F.lower(span["value"])).alias("entity"), F.array_distinct(words).alias("terms"))
 
-    return near
+def _at_hand(df: DataFrame, name: str) -> DataFrame:
+    """Written, and broadcast if it is small."""
+    df = keep(df, name)
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, text: str, min_support: int, remove_at: float, generalise_at: float) -> DataFrame:
     """``entity, removed, generalised``: the terms of the corpus that reveal each entity.
 
-    ``found`` has ``key`` and ``near``: entity and terms near it, for each span of each document.
+    ``found`` has a row for each document: ``body``, equal for equal texts only, its ``entities`` and, if it has any, its
+    ``words``.  All counts are of whole documents.  With N documents a ratio is 1 + log2(n_both / n_term) / log2(N /
+    n_entity), and n_both is at most n_entity, so no term in more than n_entity ** g * N ** (1 - g) documents reaches a
+    ratio of g.  What this bound and ``min_support`` rule out is left out before terms and entities are paired.
     """
-    near = found.select("key", F.explode("near").alias("n")).select("key", "n.entity", "n.terms")
-    n_docs = found.count()
-    of_entity = near.select("key", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity")).filter(F.col("n_entity") >= min_support)
-    pairs = near.select("key", "entity", F.explode("terms").alias("term")).distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= min_support)
-    pairs = keep(pairs.join(of_entity, "entity"), "pairs")
-    terms = keep(pairs.select("term").distinct(), "terms")
-    few = terms.count() <= SMALL_ROWS
-    words = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col(text)), NOT_WORD))).alias("term"))
-    of_term = words.join(F.broadcast(terms) if few else terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    information = -F.log2(F.col("n_entity") / F.lit(float(max(n_docs, 1))))
-    mutual = F.log2(F.col("n_both") * F.lit(float(max(n_docs, 1))) / (F.col("n_entity") * F.col("n_term")))
-    rated = pairs.join(of_term, "term").withColumn("ratio", F.when(information > 0, mutual / information).otherwise(0.0)).filter(F.col("ratio") >= generalise_at)
+    n_docs = F.lit(float(max(found.count(), 1)))
+    # Equal texts hold the same entities and words: one row that counts as often as the text occurs.
+    bodies = found.filter(F.size("entities") > 0).groupBy("body").agg(F.count("*").alias("times"), F.first("entities").alias("entities"), F.first("words").alias("words"))
+    holds = bodies.select("body", "times", F.explode("entities").alias("entity"))
+    of_entity = holds.groupBy("entity").agg(F.sum("times").alias("n_entity")).filter(F.col("n_entity") >= min_support)
+    # A little more than the bound, for rounding.
+    most = F.pow(F.col("n_entity"), F.lit(float(generalise_at))) * F.pow(n_docs, F.lit(1.0 - generalise_at)) * 1.000001
+    holds = keep(holds.join(_at_hand(of_entity.withColumn("most", most), "of_entity"), "entity"), "holds")
+    bounds = holds.groupBy("body").agg(F.max("most").alias("most"))
+    has = keep(bodies.join(bounds, "body").select("body", "times", "most", F.explode("words").alias("term")), "has")
+    # In documents of entities a term is no more frequent than in all.
+    terms = has.groupBy("term").agg(F.sum("times").alias("n"), F.max("most").alias("most")).filter((F.col("n") >= min_support) & (F.col("n") <= F.col("most")))
+    terms = keep(terms.select("term", "most"), "terms")
+    words = docs.select(F.explode(_words(F.col(text))).alias("term"))
+    if terms.count() <= SMALL_ROWS:
+        of_term = words.join(F.broadcast(terms), "term").groupBy("term", "most").agg(F.count("*").alias("n_term"))
+    else:
+        of_term = words.groupBy("term").agg(F.count("*").alias("n_term")).join(terms, "term")
+    of_term = _at_hand(of_term.filter(F.col("n_term") <= F.col("most")).select("term", "n_term"), "of_term")
+    rare = has.join(of_term, "term").filter(F.col("n_term") <= F.col("most")).select("body", "term", "n_term")
+    pairs = holds.join(rare, "body").filter(F.col("n_term") <= F.col("most"))
+    pairs = pairs.groupBy("entity", "n_entity", "term", "n_term").agg(F.sum("times").alias("n_both")).filter(F.col("n_both") >= min_support)
+    information = -F.log2(F.col("n_entity") / n_docs)
+    mutual = F.log2(F.col("n_both") * n_docs / (F.col("n_entity") * F.col("n_term")))
+    rated = pairs.withColumn("ratio", F.when(information > 0, mutual / information).otherwise(0.0)).filter(F.col("ratio") >= generalise_at)
     pick = lambda test: F.sort_array(F.collect_set(F.when(test, F.col("term"))))
     return rated.groupBy("entity").agg(pick(F.col("ratio") >= remove_at).alias("removed"), pick(F.col("ratio") < remove_at).alias("generalised"))
 
@@ -137,21 +147,24 @@ def _terms_pattern(terms: Column) -> Column:
     return F.concat(F.lit(r"(?<![\p{L}\p{N}])(?iu:"), F.array_join(terms, "|"), F.lit(r")(?![\p{L}\p{N}])"))
 
 
-def find_private(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = 8, min_support: int = 3, remove_at: float = 0.97, generalise_at: float = 0.85) -> DataFrame:
+def find_private(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_support: int = 3, remove_at: float = 0.97, generalise_at: float = 0.85) -> DataFrame:
     """``doc_id, found, terms`` for every row: base spans and disclosing terms as (kind, begin, end, value), code points.
 
-    Null and empty texts have no spans.  Texts are searched whole.  Terms are looked for in all documents that hold the
-    entity; documents without personal data are left alone.  ``window`` words before and after a span are near it, and
-    ``min_support`` documents must agree.  Repeated rows count as documents of their own and get the same spans.  An
-    empty table gives no rows; other columns are not read, so their names can't clash.
+    Null and empty texts have no spans.  Texts are searched whole.  Every word of every document that holds an entity
+    may be a term of it, however far from the entity; terms are looked for in all documents that hold the entity;
+    documents without personal data are left alone.  Entity and term must occur together in ``min_support`` documents:
+    an entity in fewer documents has its own spans but no terms.  With 1 as ``min_support`` each word that stands in one
+    document only has a ratio of 1 to each entity there and is removed.  Repeated rows count as documents of their own
+    and get the same spans.  An empty table gives no rows; other columns are not read, so their names can't clash.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("key", F.unhex(F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text"))))
-    near = F.transform("found", _context(F.col("text"), window))
-    found = keep(base_spans(rows).select("doc_id", "key", "found", near.alias("near")), "found")
+    entities = F.array_distinct(F.transform("found", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))
+    found = base_spans(rows).select("doc_id", "key", F.unhex(F.md5("text")).alias("body"), "found", entities.alias("entities"), "text")
+    found = keep(found.select("doc_id", "key", "body", "found", "entities", F.when(F.size("entities") > 0, _words(F.col("text"))).alias("words")), "found")
     risky = disclosing_terms(rows, found, "text", min_support, remove_at, generalise_at)
     # Which terms to look for in which documents.
-    held = found.filter(F.size("near") > 0).select("key", F.explode("near.entity").alias("entity")).distinct()
+    held = found.filter(F.size("entities") > 0).select("key", F.explode("entities").alias("entity")).distinct()
     wanted = held.join(risky, "entity").groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("removed"))).alias("removed"), F.array_distinct(F.flatten(F.collect_list("generalised"))).alias("generalised"))
     wanted = keep(wanted, "wanted")
     few = wanted.count() <= SMALL_ROWS

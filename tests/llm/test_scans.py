@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
@@ -108,6 +109,42 @@ def test_disclosing_terms(spark):
     assert pii.find_private(docs.limit(0)).count() == 0
 
 
+def test_disclosing_terms_anywhere_in_the_text(spark):
+    """In 1000 documents, a term in just the 10 documents of an entity is near it in 3, and far from it in the others."""
+    filler = " ".join(["the and of with"] * 100)
+    rows = [(i, f"Zorblax {'' if i < 3 else filler} x@example.com {filler}") for i in range(10)]
+    rows += [(10 + i, f"two@example.com {filler} pair") for i in range(2)] + [(12 + i, filler) for i in range(988)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = lambda **how: {r["doc_id"]: {s["value"] for s in r["terms"] if s["kind"] == "term"} for r in pii.find_private(docs, **how).collect()}
+    got = terms()
+    assert all("Zorblax" in got[i] for i in range(10)) and not any(got[i] for i in range(10, 1000))
+    assert all(terms(min_support=2)[i] == {"pair"} for i in (10, 11))
+
+
+@pytest.mark.parametrize("few", [pii.SMALL_ROWS, 0])
+@pytest.mark.parametrize("min_support", [1, 3])
+def test_disclosing_terms_by_counting(spark, monkeypatch, few, min_support):
+    monkeypatch.setattr(pii, "SMALL_ROWS", few)
+    rng = np.random.default_rng(9)
+    texts = [" ".join([*(f"w{x}" for x in (rng.zipf(1.3, 30) % 150)), *(f"e{x}@a.b" for x in rng.integers(0, 40, rng.integers(0, 3)))]) for _ in range(300)]
+    texts += texts[:20] * 4 + [None, ""]
+    rows = [(i % 290, t) for i, t in enumerate(texts)] + [(0, texts[0])] * 3
+    held = [({f"email:{m}" for m in re.findall(r"e\d+@a\.b", t or "")}, set(re.findall(r"[a-z0-9]+", t or ""))) for _, t in rows]
+    of_entity, of_term, of_both = Counter(e for x, _ in held for e in x), Counter(t for _, y in held for t in y), Counter((e, t) for x, y in held for e in x for t in y)
+    want = {}
+    for (e, t), n in of_both.items():
+        ratio = 1 + np.log2(n / of_term[t]) / np.log2(len(rows) / of_entity[e])
+        assert min(abs(ratio - 0.97), abs(ratio - 0.7)) > 1e-9
+        if n >= min_support and ratio >= 0.7:
+            want.setdefault(e, (set(), set()))[int(ratio < 0.97)].add(t)
+    assert sum(len(b) for _, b in want.values()) > 9
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("body", F.md5(F.coalesce("text", F.lit(""))))
+    entities = F.array_distinct(F.transform(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"e\d+@a\.b"), F.lit(0)), lambda m: F.concat(F.lit("email:"), m)))
+    found = docs.select("body", entities.alias("entities"), pii._words(F.col("text")).alias("words"))
+    got = pii.disclosing_terms(docs, found, "text", min_support, 0.97, 0.7).collect()
+    assert {r["entity"]: (set(r["removed"]), set(r["generalised"])) for r in got} == want
+
+
 MODEL = SP.model_bytes(P.path("piece_bpe_32k.model"))
 
 
