@@ -35,9 +35,9 @@ def _unused(docs: DataFrame, name: str) -> str:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language go: those without text or without a letter."""
+    """Documents without a recognisable language go: those without text or letters, or with no n-gram of a known one."""
     judge, own = predictor(docs, fit(docs)), _unused(docs, "_language")
-    return docs.withColumn(own, judge("text")).filter(F.col(own)["lang_pred"] != UNKNOWN).select(*docs.columns)
+    return docs.withColumn(own, judge("text")).filter((F.col(own)["lang_pred"] != UNKNOWN) & (F.col(own)["score"] > 0)).select(*docs.columns)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

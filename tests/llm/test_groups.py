@@ -206,6 +206,21 @@ def test_mix(spark):
     assert MX.mix(docs.limit(0)).taken().count() == 0
 
 
+def test_language_stage_drops_unseen_scripts(spark, small):
+    """Scripts that the model hasn't seen have letters but no recognisable language; op9 itself still names one."""
+    import corpus_pipeline as CP
+    from lodestrata.llm import language_id as L
+
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    unseen = [(10**6, "日本語の文章です", "en", "a", 8), (10**6 + 1, "Привет как дела", None, "a", 15), (10**6 + 2, "ქართული ენა", None, "a", 11)]
+    more = docs.union(spark.createDataFrame(unseen, docs.schema))
+    model = L.fit(docs)
+    judged = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in L.predict(more, model).filter(f"doc_id >= {10**6}").collect()}
+    assert all(lang != L.UNKNOWN and score == 0 for lang, score in judged.values()), judged
+    kept = [r["doc_id"] for r in CP.language_stage(spark, more, small).select("doc_id").collect()]
+    assert not set(kept) & {r[0] for r in unseen} and set(kept) == {r["doc_id"] for r in CP.language_stage(spark, docs, small).collect()}
+
+
 def test_pipeline(spark, small):
     """The stages against their operators on each stage's own input, and the whole run twice."""
     import corpus_pipeline as CP
