@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import keep, lean
+from .shared import keep, lean, meet
 
 SLOTS = 4
 MAX_MOVES = 200
@@ -197,13 +197,16 @@ def find_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", nor
     Null counts as empty, and all empty texts are one group.  Texts of any length are compared whole, by digest, length
     and content.  Of equal texts the largest id stays; repeated rows with one id are copies that all count, and all of them
     are ``kept`` if that id stays.  A null id yields to any other.  An empty table gives no rows; other columns are not
-    read, so their names can't clash.
+    read, so their names can't clash.  A digest that many rows share is met by a broadcast, so that they stay where they are.
     """
-    keys = content_keys(docs, text, doc_id, normalised)
+    keys = keep(content_keys(docs, text, doc_id, normalised), "keys")
     content = F.coalesce(F.col(text).cast("string"), F.lit("")) if normalised is None else normalised
     contents = docs.select(F.unhex(F.sha2(content, 256)).alias("digest"), content.alias("content"))
-    groups = verified(keep(build_index(keys), "index"), contents).select("digest", "keep_id", F.col("n").alias("group_size"))
-    return keys.join(groups, "digest").select("doc_id", "keep_id", "group_size", F.expr("doc_id <=> keep_id").alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+    repeated = keep(build_index(keys).filter("n > 1"), "index")
+    groups = keep(verified(repeated, contents).select("digest", F.col("keep_id").alias("_keep"), "n"), "groups")
+    out = meet(keys, groups, ["digest"], "n", "left")  # what is in no group is a single row
+    out = out.select("doc_id", F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("_keep")).alias("keep_id"), F.coalesce("n", F.lit(1)).cast("long").alias("group_size"), "digest")
+    return out.select("doc_id", "keep_id", "group_size", F.expr("doc_id <=> keep_id").alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def op2_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -8,8 +8,9 @@
    largest part needs no comparison with its own part, so that a group of thousands costs few of them.
 5. Exact links, as a spanning forest, go to the components.
 
-Large buckets and clusters are cut into tiles in which any two members meet once: nothing is capped, and no task holds a
-whole group.
+Large buckets and clusters are cut into tiles, by rows and by the size of their sets.  One member, the pivot, is in all
+tiles of its group; only members that no link joins to the pivot (in a tight group few) then meet all others in further
+tiles.  Nothing is capped, no task holds a whole group, and a group of near copies costs time in proportion to its size.
 """
 
 from __future__ import annotations
@@ -22,15 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components, runs, tiles
-from .shared import blobs, keep, lean, local_components, padded, small_batches, steps
+from .components import components, parts_of, pivot_tiles, runs, stray_tiles
+from .shared import blobs, keep, lean, local_components, meet, padded, small_batches, steps
 
 WORDS = 5
 BANDS, BAND_ROWS = 20, 5
 HASHES = BANDS * BAND_ROWS
 #: An estimate below this can't be of a pair at 0.85 (5 standard deviations of HASHES minima).
 SLACK = 0.17
-TILE_ROWS = 1024
+#: Members of a tile, and shingles of their sets in one where these are compared (4 MB).
+TILE_ROWS, TILE_SHINGLES = 1024, 500_000
 #: A table of ids of so many rows at most (about 16 MB) may be broadcast.
 SMALL_ROWS = 400_000
 
@@ -219,10 +221,29 @@ def _verify(percent: int):
     return verify
 
 
-def _by_tile(rows: DataFrame, work) -> DataFrame:
+def _by_tile(dealt: DataFrame, content: DataFrame, work) -> DataFrame:
+    """Run ``work`` on each tile of ``dealt`` (tile, doc_id); signatures are joined, whole texts are read again as sets."""
+    if "signature" in content.columns:
+        rows = dealt.join(content, "doc_id")
+    else:
+        dealt = keep(dealt.groupBy("doc_id").agg(F.collect_list("tile").alias("tiles")), "tiles")
+        few = dealt.count() <= SMALL_ROWS
+        rows = content.join(F.broadcast(dealt) if few else dealt, "doc_id").select("doc_id", "text", "tiles")
+        rows = rows.mapInArrow(lean(_emit_sets), "tile long, doc_id long, shingles binary")
     return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(lean(work), "u long, v long")
 
 
+def _linked(members: DataFrame, key: str, content: DataFrame, work) -> DataFrame:
+    """Links within the groups of ``members`` (key, doc_id, t, pivot), as stars: first in tiles with the pivot, then of strays."""
+    members = keep(members.select(key, "doc_id", "t", "pivot"), "members")
+    links = _by_tile(pivot_tiles(members, key, "doc_id"), content, work)
+    if members.filter("t > 1").isEmpty():
+        return links
+    links = keep(links, "links")
+    dealt = keep(stray_tiles(members, links, key, "doc_id", TILE_ROWS), "stray-tiles")
+    return links if dealt.isEmpty() else links.union(_by_tile(dealt, content, work))
+
+
 def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 85) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row.
 
@@ -237,23 +258,22 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", per
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     signed = keep(rows.mapInArrow(lean(_sign), SIGNED), "signed")
     linkable = signed.filter("n_shingles > 0 and doc_id is not null")
-    same = linkable.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    nodes = keep(linkable.join(same, ["digest", "doc_id"], "left_semi").select("doc_id", "signature").dropDuplicates(["doc_id", "signature"]), "nodes")
-    bands = nodes.mapInArrow(lean(_band_keys), "key long, doc_id long")
-    buckets = bands.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("least"), F.bit_xor(F.xxhash64("doc_id")).alias("mark")).filter("n > 1")
-    buckets = buckets.groupBy("n", "least", "mark").agg(F.min("key").alias("key")).select("key", "n")
-    met = tiles(bands.join(buckets, "key"), "key", "doc_id", "n", TILE_ROWS).select("tile", "doc_id")
-    guesses = _by_tile(met.join(nodes, "doc_id"), _alike(percent / 100))
+    same = keep(linkable.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")), "same")
+    nodes = linkable.join(same.select("digest", "doc_id"), ["digest", "doc_id"], "left_semi")
+    nodes = keep(nodes.select("doc_id", "n_shingles", "digest", "signature").dropDuplicates(["doc_id", "digest"]), "nodes")
+    bands = keep(nodes.mapInArrow(lean(_band_keys), "key long, doc_id long"), "bands")
+    buckets = bands.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("pivot"), F.bit_xor(F.xxhash64("doc_id")).alias("mark")).filter("n > 1")
+    buckets = keep(buckets.groupBy("n", "pivot", "mark").agg(F.min("key").alias("key")).select("key", "n", "pivot"), "buckets")
+    members = meet(bands, buckets, ["key"], "n").withColumn("t", parts_of(F.col("n"), TILE_ROWS))
+    guesses = _linked(members, "key", nodes.select("doc_id", "signature"), _alike(percent / 100))
     clusters = keep(components(guesses).withColumnRenamed("node", "doc_id"), "clusters")
-    sizes = clusters.groupBy("component").agg(F.count("*").alias("n"))
-    dealt = tiles(clusters.join(sizes, "component"), "component", "doc_id", "n", TILE_ROWS)
-    dealt = keep(dealt.groupBy("doc_id").agg(F.collect_list("tile").alias("tiles")), "tiles")
-    few = dealt.count() <= SMALL_ROWS
-    chosen = rows.join(F.broadcast(dealt) if few else dealt, "doc_id").select("doc_id", "text", "tiles")
-    links = _by_tile(chosen.mapInArrow(lean(_emit_sets), "tile long, doc_id long, shingles binary"), _verify(percent))
+    sized = clusters.join(nodes.select("doc_id", "n_shingles"), "doc_id")
+    sizes = keep(sized.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")), "sizes")
+    members = meet(clusters, sizes, ["component"], "n").withColumn("t", parts_of(F.col("n"), TILE_ROWS, F.col("shingles"), TILE_SHINGLES))
+    links = _linked(members.withColumn("pivot", F.col("component")), "component", rows, _verify(percent))
     found = components(links)
-    root = same.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("digest", F.coalesce("component", "doc_id").alias("root"))
-    out = signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest")).join(root, "digest", "left")
+    root = same.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("digest", F.coalesce("component", "doc_id").alias("root"), "n")
+    out = meet(signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest")), keep(root, "roots"), ["digest"], "n", "left")
     own = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"))
     return own.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 

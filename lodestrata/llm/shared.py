@@ -7,19 +7,34 @@ import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Bytes of text that one vectorised step works on.
 STEP_BYTES = 4 << 20
+#: Bytes of an Arrow batch between Spark and its Python workers, but for a longer row.
+BATCH_BYTES = 8 << 20
+
+
+#: Keys with more than this share of all rows are heavy: there are fewer of them than its inverse, whatever the input.
+HEAVY_SHARE, HEAVY_LEAST = 1e-4, 64
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own if that is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where that is unset a folder of this machine serves if all executors run in this process; elsewhere that is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", "")
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="lodestrata-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -48,12 +63,47 @@ def discard(*frames: DataFrame) -> None:
             at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def meet(rows: DataFrame, side: DataFrame, key: list[str], weight: str, how: str = "inner", total: int | None = None) -> DataFrame:
+    """Join ``rows`` with ``side``, which has one row for each key and in ``weight`` how many rows have it.
+
+    A key with a great part of the rows would bring them all to one task.  Keys over ``HEAVY_SHARE`` of all rows are fewer
+    than 1 / ``HEAVY_SHARE``, so their side is broadcast; the rows of all others are dealt by the key.  Reads ``rows``
+    twice: keep them before if they are dear.  Rows with a null in the key match nothing; ``how`` is inner or left, and a
+    left join leaves them where they are.  ``total`` is the sum of the weights, or more, if it is known.
+    """
+    if total is None:
+        total = side.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    limit = max(HEAVY_LEAST, int(total * HEAVY_SHARE))
+    heavy = F.broadcast(side.filter(F.col(weight) > limit))  # fewer than 1 / HEAVY_SHARE rows
+    sound = reduce(Column.__and__, [F.col(k).isNotNull() for k in key])
+    rest = rows.filter(sound).join(heavy.select(*key), key, "left_anti").join(side.filter(F.col(weight) <= limit), key, how)
+    out = rows.join(heavy, key).unionByName(rest)
+    if how == "left":
+        gone = [c for c in side.columns if c not in key]
+        out = out.unionByName(rows.filter(~sound).select("*", *[F.lit(None).cast(side.schema[c].dataType).alias(c) for c in gone]))
+    return out
+
+
+def local_rows(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
+    """A small table from the driver's values, without Python workers."""
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
+    columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], schema=kinds), schema)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Texts can be long: let an Arrow batch hold at most ``rows`` of them."""
+    """Texts can be long: let the session's Arrow batches hold at most ``rows`` of them and some megabytes.
+
+    Spark reads these settings when it plans a query, which may be long after an operator has returned, so they stay.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > rows:
         spark.conf.set(key, str(rows))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).lower().rstrip("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def blobs(texts: pa.Array) -> list[bytes]:
