@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, which driver and executors share; a folder of our own only where that is unset."""
+    """``spark.checkpoint.dir``, which driver and executors share; a folder of our own only in a local session without it."""
     base = spark.conf.get("spark.checkpoint.dir", "")
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="lodestrata-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
