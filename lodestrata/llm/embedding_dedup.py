@@ -3,9 +3,10 @@
 For unit vectors a cosine of at least c is a squared distance of at most D = 2 - 2c.  After a random rotation the vectors
 are cut into ``BLOCKS`` blocks of coordinates; if a pair's squared distance is at most D, then in at least one block it is
 at most that block's share of D, which is in proportion to its width.  So each block is a range join of its own: on its
-first coordinate, vectors lie in cells as wide as the block's radius, and a pair meets in its cell or in neighbouring
-ones.  A task takes the pairs within the block's budget that no earlier block has, and verifies them by their cosine in
-double precision.  Only counts and a spanning forest of the links leave the task.
+first coordinates, vectors lie in cells as wide as the block's radius, and a pair meets in its cell or in neighbouring
+ones.  How many coordinates make a cell depends on how many vectors a label has, so that cells stay small: with each one a
+vector is in twice as many cells.  A task takes the pairs within the block's budget that no earlier block has, and verifies
+them by their cosine in double precision.  Only counts and a spanning forest of the links leave the task.
 """
 
 from __future__ import annotations
@@ -18,10 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components, runs
-from .shared import keep, local_components, small_batches
+from .shared import keep, local_components, meet, small_batches
 
 BLOCKS = 4
-TILE_ROWS = 1500
+#: Vectors of a part of a cell, and the most coordinates that make a cell.
+TILE_ROWS, MOST_AXES = 8192, 8
+#: About the share of a cell's vectors that its fullest subcell has.
+SUBCELL_SHARE = 0.45
+#: A table of cells or labels of so many rows at most may be broadcast (some 10 MB).
+SMALL_ROWS = 100_000
 #: Room for rounding in the rotated coordinates; candidates are verified exactly.
 ROUNDING = 1e-6
 
@@ -52,26 +58,33 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
-def _deal(cosine: float):
-    """A row for each block and cell where the vector is at home or a guest of the next lower cell."""
+def _deal(cosine: float, thin: bool):
+    """A row for each block and cell where the vector is at home or, along some of the axes, a guest of the next lower cell.
+
+    Bit i of ``guest`` is set if it is a guest along axis i.  Two vectors whose cells are the same or neighbours along
+    each axis have one cell in which no axis has both as guests.  ``thin`` rows have the cell and ``guest`` only.
+    """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            width = batch["width"].to_numpy()
-            for w in np.unique(width).tolist():
-                own = batch.filter(pa.array(width == w))
-                unit = _unit(_vectors(own["vector"])) @ rotation(w)
-                names, labels, vectors, copies = own["vec_id"], own["label"], own["vector"], own["copies"]
-                for b, ((first, _), budget) in enumerate(zip(edges_of(w), _budgets(w, cosine), strict=True)):
-                    cell = np.floor(unit[:, first] / (np.sqrt(budget) + ROUNDING)).astype(np.int32)
-                    for guest in (0, 1):
-                        n = len(cell)
-                        yield pa.RecordBatch.from_arrays([labels, pa.array(np.full(n, w, np.int32)), pa.array(np.full(n, b, np.int32)), pa.array(cell - guest), pa.array(np.full(n, guest, np.int32)), names, copies, vectors], _DEALT)
+            kinds = np.stack([batch["width"].to_numpy(), batch["axes"].to_numpy()], axis=1)
+            for w, most in np.unique(kinds, axis=0).tolist() if len(kinds) else []:
+                own = batch.filter(pa.array((kinds == (w, most)).all(axis=1)))
+                turned, n = _unit(_vectors(own["vector"])) @ rotation(w), own.num_rows
+                for b, ((first, last), budget) in enumerate(zip(edges_of(w), _budgets(w, cosine), strict=True)):
+                    axes = min(most, last - first)
+                    cell = np.floor(turned[:, first : first + axes] / (np.sqrt(budget) + ROUNDING)).astype(">i4")
+                    for guest in range(1 << axes):
+                        moved = cell - np.array([guest >> i & 1 for i in range(axes)], ">i4")
+                        names = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * axes), n, [None, pa.py_buffer(np.ascontiguousarray(moved.astype(">i4")).tobytes())]).cast(pa.binary())
+                        key = [own["label"], pa.array(np.full(n, w, np.int32)), pa.array(np.full(n, b, np.int32)), names, pa.array(np.full(n, guest, np.int32))]
+                        yield pa.RecordBatch.from_arrays(key if thin else [*key, own["vec_id"], own["copies"], own["vector"]], _DEALT[: 5 if thin else None])
 
     return deal
 
 
 _DEALT = ["label", "width", "block", "cell", "guest", "vec_id", "copies", "vector"]
+_CELL = "label string, width int, block int, cell binary, guest int"
 
 
 def _link(cosine: float):
@@ -79,11 +92,13 @@ def _link(cosine: float):
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, "tile"):
-            table = table.sort_by("guest")  # those at home come first
+            if table.num_rows < 2:
+                continue
+            table = table.sort_by("guest")  # those that are at home along all axes come first
             b, w = int(table["block"][0].as_py()), int(table["width"][0].as_py())
-            cross, part = bool(table["cross"][0].as_py()), table["part"].to_numpy()
+            cross, part, guest = bool(table["cross"][0].as_py()), table["part"].to_numpy(), table["guest"].to_numpy()
             names, copies = table["vec_id"].to_numpy(), table["copies"].to_numpy()
-            home, n = int((table["guest"].to_numpy() == 0).sum()), len(names)
+            n, host = len(names), int((guest < guest.max()).sum()) if guest.max() else len(names)
             unit = _unit(_vectors(table["vector"]))
             turned, spans, budgets = unit @ rotation(w), edges_of(w), _budgets(w, cosine)
             x, y = spans[b]
@@ -96,13 +111,13 @@ def _link(cosine: float):
             none = np.zeros(0, np.int64)
             counts, us, vs = np.zeros(n, np.int64), [none], [none]
             step = max(1, 2_000_000 // n)
-            for lo in range(0, home, step):
-                hi = min(home, lo + step)
+            for lo in range(0, host, step):
+                hi = min(host, lo + step)
                 near = np.flatnonzero(left[lo:hi] @ right[lo:].T >= least_product)
                 for at in range(0, len(near), 500_000):
                     p, q = np.divmod(near[at : at + 500_000], n - lo)
                     p, q = p + lo, q + lo
-                    fit = p < q
+                    fit = (p < q) & (guest[p] & guest[q] == 0)
                     if cross:
                         fit &= part[p] != part[q]
                     p, q = p[fit], q[fit]
@@ -114,8 +129,10 @@ def _link(cosine: float):
                     true = (unit[p] * unit[q]).sum(axis=1) >= cosine
                     p, q = p[true], q[true]
                     counts += np.bincount(p, copies[q], n).astype(np.int64) + np.bincount(q, copies[p], n).astype(np.int64)
-                    us.append(p)
-                    vs.append(q)
+                    star = local_components(n, p, q)  # a spanning forest of these links
+                    linked = np.flatnonzero(star != np.arange(n))
+                    us.append(linked)
+                    vs.append(star[linked])
             label = local_components(n, np.concatenate(us), np.concatenate(vs))
             least = np.full(n, np.iinfo(np.int64).max)
             np.minimum.at(least, label, names)
@@ -135,20 +152,32 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, vector: str = "embedd
     """
     spark = vectors.sparkSession
     small_batches(spark, 2000)
-    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("vector"))
+    narrow = vectors.schema[vector].dataType.simpleString() in ("array<float>", "array<double>")  # vectors travel as narrow as they come
+    raw = F.col(vector) if narrow else F.col(vector).cast("array<double>")
+    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(label).cast("string").alias("label"), raw.alias("vector"))
     sound = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(F.size("vector") > 0, F.lit(False))
     sound &= F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0)
-    rows = rows.withColumn("node", F.when(F.coalesce(sound, F.lit(False)), F.sha2(F.array_join(F.transform("vector", lambda x: F.hex((x + 0.0).cast("string"))), ",").cast("binary"), 256)))
-    good = rows.filter("node is not null")
-    same = good.groupBy("label", "node").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
-    firsts = good.join(same, ["label", "node", "vec_id"]).dropDuplicates(["label", "node"])
-    nodes = keep(firsts.select("vec_id", F.col("label").cast("string").alias("label"), F.size("vector").alias("width"), "copies", "vector"), "vectors")
-    dealt = nodes.mapInArrow(_deal(cosine), "label string, width int, block int, cell int, guest int, vec_id long, copies long, vector array<double>")
-    # Cells with many vectors are cut into parts, and each pair of parts is a tile.
+    content = F.concat_ws(",", F.transform("vector", lambda x: (x + F.lit(0.0)).cast("string")))
+    rows = rows.withColumn("node", F.when(F.coalesce(sound, F.lit(False)), F.unhex(F.sha2(F.concat_ws("|", "label", content), 256))))
+    thin = keep(rows.select("vec_id", "node"), "vector-keys")
+    same = keep(thin.filter("node is not null").groupBy("node").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")), "same-vectors")
+    firsts = rows.filter("node is not null").join(same, ["node", "vec_id"]).dropDuplicates(["node"])
+    nodes = keep(firsts.select("vec_id", "label", F.size("vector").alias("width"), "copies", "vector"), "vectors")
+    # A label with more vectors than its fullest cell may have gets more axes.
+    axes = F.ceil(F.log(F.col("n") * SUBCELL_SHARE / TILE_ROWS) / F.log(F.lit(1 / SUBCELL_SHARE))) + 1
+    labels = nodes.groupBy("label", "width").agg(F.count("*").alias("n"))
+    labels = keep(labels.withColumn("axes", F.least(F.lit(MOST_AXES), axes).cast("int")).filter("axes > 1"), "large-labels")
+    few = labels.count() <= SMALL_ROWS
+    split = nodes.join(F.broadcast(labels), ["label", "width"], "left") if few else meet(nodes, labels, ["label", "width"], "n", "left")
+    split = split.withColumn("axes", F.coalesce("axes", F.lit(1))).drop("n")
+    # Cells that are still large are cut into parts, and each pair of parts is a tile.
     key = ["label", "width", "block", "cell"]
-    sizes = nodes.mapInArrow(_deal(cosine), dealt.schema).groupBy(*key).agg(F.count("*").alias("n"), F.min("guest").alias("home"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("n") / TILE_ROWS).cast("int"))
-    tiled = dealt.join(sizes.filter("n > 1 and home = 0"), key).withColumn("t", parts).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("t")).cast("int"))
+    large = keep(split.mapInArrow(_deal(cosine, True), _CELL).groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") > TILE_ROWS), "large-cells")
+    few = large.count() <= SMALL_ROWS
+    dealt = split.mapInArrow(_deal(cosine, False), f"{_CELL}, vec_id long, copies long, vector {nodes.schema['vector'].dataType.simpleString()}")
+    tiled = dealt.join(F.broadcast(large), key, "left") if few else meet(dealt, large, key, "n", "left")
+    parts = F.coalesce(F.ceil(F.col("n") / TILE_ROWS).cast("int"), F.lit(1))
+    tiled = tiled.withColumn("t", parts).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("t")).cast("int"))
     tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("t") - 1)))
     low, high = F.least("part", "other"), F.greatest("part", "other")
     tiled = tiled.select(F.xxhash64(*key, low, high).alias("tile"), (low != high).alias("cross"), "part", "width", "block", "guest", "vec_id", "copies", "vector")
@@ -156,8 +185,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, vector: str = "embedd
     counts = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("vec_id").alias("u"), F.col("least").alias("v"))).withColumnRenamed("node", "vec_id")
     of_node = same.join(counts, "vec_id", "left").join(groups, "vec_id", "left")
-    of_node = of_node.select("label", "node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "vec_id").alias("component"))
-    out = rows.select("vec_id", "label", "node").join(of_node, ["label", "node"], "left")
+    of_node = of_node.select("node", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "vec_id").alias("component"))
+    out = meet(thin, keep(of_node, "vector-groups"), ["node"], "copies", "left")
     out = out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 

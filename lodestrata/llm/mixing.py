@@ -1,40 +1,73 @@
 """Mixing sources to target weights.
 
-Each source's words form a stream: its documents in a pseudorandom order, cut into blocks of ``BLOCK_WORDS`` words.  The
-mix is a row of slots in shards.  For each shard the numbers of slots of the sources are drawn multinomially, given the
-slots that each source has left, so that the sources' totals meet their targets.  A source's slots are numbered through;
-slot k takes block ``permutation(k mod n)`` of pass ``k div n``, so that no block is taken again before all others are.
-Slots and blocks are joined by source and block index.
+Each source's words form a stream: its documents in a pseudorandom order, cut into blocks of ``BLOCK_WORDS`` words, of
+which the last may be shorter.  The mix is a row of slots in output shards, and a source has as many slots as its target
+needs: whole passes over all its blocks, and then some blocks more, the last of them in part, so that the words taken are
+the target's.  The numbers of slots that each shard has of a source are drawn multinomially, given the source's total: at
+first over groups of shards, then over the shards of each group, by generators that are seeded by source and group, so
+that any task can draw its part.  A source's slots are numbered through; in each pass, slot k takes block
+``permutation(k)``, so that no block is taken again before all others are.  Slots and blocks are joined by source and
+block index.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
-from .shared import keep, small_batches
+from .shared import keep, local_rows, small_batches
 
 #: Weights by the sources' order, repeating, and the most that a source may be repeated.
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
 BLOCK_WORDS = 128
-SHARD_SLOTS = 1 << 16
-CHUNK_SLOTS = 1 << 13
-DOCS_A_BUCKET = 4000
+#: About how many slots a shard has; shards of a group; slots that one task's step numbers at once.
+SHARD_SLOTS, GROUP_SHARDS, CHUNK_SLOTS = 1 << 16, 1 << 10, 1 << 13
+#: Documents of a bucket, and buckets of a stretch, in which running sums are made.
+DOCS_A_BUCKET, BUCKETS_A_STRETCH = 500, 500
+#: A table of pieces of so many rows at most (about 20 MB) may be broadcast.
+SMALL_ROWS = 400_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 @dataclass(frozen=True)
 class Source:
+    """``words`` are taken in ``passes`` over all blocks and then of ``more`` whole ones and a part of one."""
+
     name: str | None
     size: int
     target: float
-    blocks: int
-    slots: int
+
+    @property
+    def words(self) -> int:
+        return round(self.target)
+
+    @property
+    def full(self) -> int:
+        return self.size // BLOCK_WORDS
+
+    @property
+    def blocks(self) -> int:
+        return -(-self.size // BLOCK_WORDS)
+
+    @property
+    def passes(self) -> int:
+        return self.words // self.size if self.size else 0
+
+    @property
+    def rest(self) -> int:
+        """Words of the last pass, which takes full blocks before the shorter one."""
+        return self.words - self.passes * self.size
+
+    @property
+    def slots(self) -> int:
+        return self.passes * self.blocks + -(-self.rest // BLOCK_WORDS)
 
 
 def targets(sizes: list[int], weights: list[float], repeats: float = REPEATS) -> list[float]:
@@ -73,103 +106,197 @@ def permute(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
     return value.astype(np.int64)
 
 
-def draw_shards(sources: list[Source], seed: int, shard_slots: int = SHARD_SLOTS) -> list[tuple[int, int, int, int]]:
-    """(shard, source, first slot of the source, slots) for each shard and source with slots."""
-    rng = np.random.default_rng(seed)
-    left = np.array([s.slots for s in sources], np.int64)
-    first, out, shard = np.zeros(len(sources), np.int64), [], 0
-    while left.sum():
-        n = int(min(shard_slots, left.sum()))
-        # Multinomial counts given what is left of each source.
-        counts = rng.multivariate_hypergeometric(left, n, method="marginals") if left.sum() > n else left.copy()
-        out += [(shard, int(i), int(first[i]), int(counts[i])) for i in np.flatnonzero(counts)]
-        first, left, shard = first + counts, left - counts, shard + 1
-    return out
+def block_and_limit(k: np.ndarray, size: np.ndarray, words: np.ndarray, source: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The block of slot k of a source of that size and those words, and how many of the block's words it takes at most."""
+    full, blocks, passes = size // BLOCK_WORDS, -(-size // BLOCK_WORDS), words // size
+    turn = np.minimum(k // blocks, passes)
+    at, last = k - turn * blocks, turn == passes
+    rest = words - passes * size
+    among = np.where(last, full, blocks)
+    key = (source.astype(np.uint64) * np.uint64(1_000_003) + turn.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(seed)
+    inside = at < among
+    block = np.where(inside, permute(np.where(inside, at, 0), np.maximum(among, 1), key), at)
+    return block, np.where(last, np.minimum(BLOCK_WORDS, rest - at * BLOCK_WORDS), BLOCK_WORDS)
+
+
+def draw_groups(n_shards: int, seed: int):
+    """Slots of each source in each group of shards: ``s, part, first, n``."""
+    groups = -(-n_shards // GROUP_SHARDS)
+    shares = np.array([min(GROUP_SHARDS, n_shards - g * GROUP_SHARDS) for g in range(groups)], float) / max(n_shards, 1)
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s, slots in zip(batch["s"].to_pylist(), batch["slots"].to_pylist(), strict=True):
+                yield _spread(s, np.arange(groups), 0, np.random.default_rng([seed, s]).multinomial(slots, shares / shares.sum()))
+
+    return draw
+
+
+def draw_shards(n_shards: int, seed: int):
+    """Slots of each source in each shard of a group: ``s, part, first, n``."""
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s, group, first, n in zip(*(batch[c].to_pylist() for c in ("s", "part", "first", "n")), strict=True):
+                shards = np.arange(group * GROUP_SHARDS, min((group + 1) * GROUP_SHARDS, n_shards))
+                yield _spread(s, shards, first, np.random.default_rng([seed, s, group]).multinomial(n, np.full(len(shards), 1 / len(shards))))
+
+    return draw
+
+
+def _spread(s: int, parts: np.ndarray, first: int, counts: np.ndarray) -> pa.RecordBatch:
+    begins = first + np.cumsum(counts) - counts
+    some = counts > 0
+    return pa.RecordBatch.from_arrays([pa.array(np.full(some.sum(), s, np.int32)), pa.array(parts[some]), pa.array(begins[some]), pa.array(counts[some])], ["s", "part", "first", "n"])
+
+
+_DRAWN = "s int, part long, first long, n long"
+
+
+def plan_shards(spark, sources: list[Source], seed: int, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """``s, part, first, n``: which slots of each source are in each shard (part); drawn on the executors."""
+    n_shards = max(1, -(-sum(s.slots for s in sources) // shard_slots))
+    table = local_rows(spark, "s int, slots long", [(i, s.slots) for i, s in enumerate(sources) if s.slots])
+    groups = table.repartition("s").mapInArrow(draw_groups(n_shards, seed), _DRAWN)
+    return groups.repartition("s", "part").mapInArrow(draw_shards(n_shards, seed), _DRAWN)
 
 
 @dataclass(frozen=True)
 class Mix:
-    """``documents``: row_key, doc_id, source index ``s``, ``begin``, ``size``; ``slots``: shard, slot, s, block."""
+    """``documents``: row_key, doc_id, source index ``s``, ``begin``, ``size``; ``slots``: shard, slot, s, block, words."""
 
     sources: list[Source]
     documents: DataFrame
     slots: DataFrame
-    seed: int
 
     def fragments(self) -> DataFrame:
-        """The part of each document in each block it lies in: ``s, block, doc_id, begin, from_word, words``."""
+        """The part of each document in each block it lies in: ``s, block, row_key, doc_id, begin, size, from_word, at, words``.
+
+        The part has the document's words from ``from_word`` on and the block's from ``at`` on.
+        """
         last = F.expr(f"(begin + size - 1) div {BLOCK_WORDS}")
         rows = self.documents.filter("size > 0").withColumn("block", F.explode(F.sequence(F.expr(f"begin div {BLOCK_WORDS}"), last)))
-        low = F.greatest(F.col("begin"), F.col("block") * BLOCK_WORDS)
-        high = F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * BLOCK_WORDS)
-        return rows.select("s", "block", "doc_id", "begin", (low - F.col("begin")).alias("from_word"), (high - low).alias("words"))
+        edge = F.col("block") * BLOCK_WORDS
+        low, high = F.greatest(F.col("begin"), edge), F.least(F.col("begin") + F.col("size"), edge + BLOCK_WORDS)
+        return rows.select("s", "block", "row_key", "doc_id", "begin", "size", (low - F.col("begin")).alias("from_word"), (low - edge).alias("at"), (high - low).alias("words"))
+
+    def drawn(self) -> DataFrame:
+        """How often each fragment is taken whole (``times``), and of how many of its words one slot more takes the first (``first_words``)."""
+        whole = F.col("limit") == BLOCK_WORDS
+        counts = self.slots.groupBy("s", "block").agg(F.count_if(whole).alias("times"), F.coalesce(F.max(F.when(~whole, F.col("limit"))), F.lit(0)).alias("part"))
+        first = F.greatest(F.lit(0), F.least(F.col("words"), F.col("part") - F.col("at")))
+        return self.fragments().join(counts, ["s", "block"]).withColumn("first_words", first).drop("part")
 
     def blocks(self) -> DataFrame:
         """The mix itself: ``shard, slot, source, block, parts`` with the parts (doc_id, from_word, words) in order."""
-        parts = self.fragments().groupBy("s", "block").agg(F.sort_array(F.collect_list(F.struct("begin", "doc_id", "from_word", "words"))).alias("parts"))
-        names = self.slots.sparkSession.createDataFrame([(i, s.name) for i, s in enumerate(self.sources)], "s int, source string")
+        parts = self.fragments().groupBy("s", "block").agg(F.sort_array(F.collect_list(F.struct("begin", "doc_id", "from_word", "at", "words"))).alias("parts"))
+        names = local_rows(self.slots.sparkSession, "s int, source string", [(i, s.name) for i, s in enumerate(self.sources)])
         joined = self.slots.join(parts, ["s", "block"]).join(F.broadcast(names), "s")  # one row a source
-        return joined.select("shard", "slot", "source", "block", F.transform("parts", lambda p: F.struct(p["doc_id"], p["from_word"], p["words"])).alias("parts"))
+        cut = F.transform("parts", lambda p: F.struct(p["doc_id"], p["from_word"], F.least(p["words"], F.col("limit") - p["at"]).alias("words")))
+        return joined.select("shard", "slot", "source", "block", F.filter(cut, lambda p: p["words"] > 0).alias("parts"))
 
     def taken(self) -> DataFrame:
         """``doc_id, size, source_size, target, taken`` for every row of the input."""
-        spark = self.slots.sparkSession
-        drawn = self.slots.groupBy("s", "block").agg(F.count("*").alias("times"))
-        words = self.fragments().join(drawn, ["s", "block"]).groupBy("s", "begin").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-        of = spark.createDataFrame([(i, s.size, s.target) for i, s in enumerate(self.sources)], "s int, source_size long, target double")
+        words = self.drawn().groupBy("s", "begin").agg(F.sum(F.col("words") * F.col("times") + F.col("first_words")).alias("taken"))
+        of = local_rows(self.slots.sparkSession, "s int, source_size long, target double", [(i, s.size, s.target) for i, s in enumerate(self.sources)])
         full = self.documents.filter("size > 0").join(words, ["s", "begin"], "left").select("doc_id", "s", "size", F.coalesce("taken", F.lit(0)).alias("taken"))
         none = self.documents.filter("size = 0").select("doc_id", "s", "size", F.lit(0).cast("long").alias("taken"))
         return full.union(none).join(F.broadcast(of), "s").select("doc_id", "size", "source_size", "target", "taken")
 
+    def pieces(self) -> DataFrame:
+        """What is taken of each row: ``row_key, from_word, words, times``; a whole row has its size as ``words``.
+
+        A row is taken whole as often as each of its blocks is; what is left is a piece for each fragment.  Equal rows
+        have one key, and their pieces are added up.
+        """
+        drawn = keep(self.drawn(), "drawn")
+        whole = drawn.groupBy("s", "begin").agg(F.min("times").alias("least"), F.count("*").alias("n"), F.max(F.expr(f"(begin + size - 1) div {BLOCK_WORDS} - begin div {BLOCK_WORDS} + 1")).alias("of"))
+        whole = whole.withColumn("least", F.when(F.col("n") == F.col("of"), F.col("least")).otherwise(0)).drop("n", "of")
+        rows = drawn.join(whole, ["s", "begin"])
+        parts = rows.select("row_key", "from_word", "words", (F.col("times") - F.col("least")).alias("times"))
+        first = rows.select("row_key", "from_word", F.col("first_words").alias("words"), F.lit(1).cast("long").alias("times"))
+        full = rows.filter("from_word = 0").select("row_key", F.lit(0).cast("long").alias("from_word"), F.col("size").alias("words"), F.col("least").alias("times"))
+        every = parts.union(first).union(full).filter("times > 0 and words > 0")
+        return every.groupBy("row_key", "from_word", "words").agg(F.sum("times").cast("int").alias("times"))
+
+
+def row_key(docs: DataFrame) -> Column:
+    """A key that rows share only if all their columns are equal."""
+    cell = lambda f: F.col(f.name).cast("string") if isinstance(f.dataType, AtomicType) else F.to_json(F.struct(f.name))
+    return F.unhex(F.md5(F.concat_ws("\x1f", *[F.coalesce(cell(f), F.lit("\x00null")) for f in docs.schema])))
+
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS, seed: int = 7) -> Mix:
     """Plan and draw a mix of all documents.
 
     A document's size is its number of words; null and empty texts have none and are never taken.  Sources are ordered by
-    code point with null last.  The list of sources, one row each, is on the driver, as weights are by source.  Repeated
-    rows are documents of their own; their order in the stream doesn't matter.  Long texts lie in many blocks.  An empty
-    table has no sources, slots or rows.  The same rows give the same mix, however they are partitioned.
+    code point with null last.  The list of sources, one row each, is on the driver, as weights are by source; slots,
+    shards and documents are not.  Repeated rows are documents of their own.  Rows without an id are mixed as others.
+    Long texts lie in many blocks.  An empty table has no sources, slots or rows.  The same rows give the same mix, however
+    they are partitioned.  A source's words are its target's, rounded to a word, so that small sources aren't lost.
     """
     spark = docs.sparkSession
     small_batches(spark, 10_000)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    thin = keep(rows, "sizes")
+    size = F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
+    thin = keep(docs.select(row_key(docs).alias("row_key"), F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), size.alias("size")), "sizes")
     found = [(r["source"], int(r["size"]), int(r["n"])) for r in thin.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()]
     found.sort(key=lambda x: (x[0] is None, x[0] or ""))
     sizes = [x[1] for x in found]
     goals = targets(sizes, [weights[i % len(weights)] for i in range(len(found))], repeats)
-    sources = []
-    for (name, size, _), goal in zip(found, goals, strict=True):
-        blocks = -(-size // BLOCK_WORDS)
-        passes = int(goal // size) if size else 0
-        slots = passes * blocks + round((goal - passes * size) / size * blocks) if size else 0
-        sources.append(Source(name, size, goal, blocks, min(slots, repeats * blocks)))
-    index = spark.createDataFrame([(i, s.name) for i, s in enumerate(sources)], "s int, name string")
+    sources = [Source(name, size, goal) for (name, size, _), goal in zip(found, goals, strict=True)]
+    index = local_rows(spark, "s int, name string", [(i, s.name) for i, s in enumerate(sources)])
     buckets = max(1, -(-sum(x[2] for x in found) // DOCS_A_BUCKET))
-    known = thin.join(F.broadcast(index), thin["source"].eqNullSafe(index["name"])).select("doc_id", "s", "size", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(buckets)).alias("bucket"))
-    # Two-level running sum: buckets of a source, then documents of a bucket.
-    sums = known.groupBy("s", "bucket").agg(F.sum("size").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("s").orderBy("bucket")) - F.col("n")
-    base = sums.select("s", "bucket", before.alias("base"))
-    inside = F.sum("size").over(Window.partitionBy("s", "bucket").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1))
+    bucket = F.pmod(F.xxhash64("row_key", F.lit(seed)), F.lit(buckets))
+    known = thin.join(F.broadcast(index), thin["source"].eqNullSafe(index["name"])).select("row_key", "doc_id", "s", "size", bucket.alias("bucket"))
+    # A running sum in three steps: stretches of a source, buckets of a stretch, documents of a bucket.
+    stretch = F.expr(f"bucket div {BUCKETS_A_STRETCH}")
+    sums = keep(known.groupBy("s", stretch.alias("stretch"), "bucket").agg(F.sum("size").alias("n")), "bucket-sums")
+    far = sums.groupBy("s", "stretch").agg(F.sum("n").alias("n"))
+    far = far.select("s", "stretch", (F.sum("n").over(Window.partitionBy("s").orderBy("stretch")) - F.col("n")).alias("far"))
+    near = F.sum("n").over(Window.partitionBy("s", "stretch").orderBy("bucket")) - F.col("n")
+    base = sums.select("s", "stretch", "bucket", near.alias("near")).join(far, ["s", "stretch"]).select("s", "bucket", (F.col("near") + F.col("far")).alias("base"))
+    inside = F.sum("size").over(Window.partitionBy("s", "bucket").orderBy("row_key").rowsBetween(Window.unboundedPreceding, -1))
     placed = known.withColumn("inside", F.coalesce(inside, F.lit(0))).join(base, ["s", "bucket"])
-    documents = keep(placed.select("doc_id", "s", "size", (F.col("base") + F.col("inside")).alias("begin")), "placed")
-    drawn = draw_shards(sources, seed)
-    counts = spark.createDataFrame(drawn or [], "shard int, s int, first long, n long")
-    chunk = counts.withColumn("at", F.explode(F.expr(f"sequence(0L, n - 1, {CHUNK_SLOTS}L)")))
-    chunk = chunk.repartition("s", "first", "at")
-    slot = chunk.select("shard", "s", F.explode(F.expr(f"sequence(first + at, first + least(n, at + {CHUNK_SLOTS}) - 1)")).alias("k"))
-    blocks_of = np.array([s.blocks for s in sources] or [1], np.int64)
-
-    @F.arrow_udf("long")
-    def block_of(s: pa.Array, k: pa.Array) -> pa.Array:
-        which, number = s.to_numpy(), k.to_numpy()
-        n = blocks_of[which]
-        key = (which.astype(np.uint64) * np.uint64(1_000_003) + (number // n).astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(seed)
-        return pa.array(permute(number % n, n, key))
-
-    slots = slot.select("shard", F.xxhash64("s", "k", F.lit(seed)).alias("slot"), "s", block_of("s", "k").alias("block"))
-    return Mix(sources, documents, slots, seed)
+    documents = keep(placed.select("row_key", "doc_id", "s", "size", (F.col("base") + F.col("inside")).alias("begin")), "placed")
+    counts = plan_shards(spark, sources, seed)
+    chunk = counts.withColumn("from", F.explode(F.expr(f"sequence(0L, n - 1, {CHUNK_SLOTS}L)"))).repartition("s", "first", "from")
+    slot = chunk.select(F.col("part").alias("shard"), "s", F.explode(F.expr(f"sequence(first + from, first + least(n, from + {CHUNK_SLOTS}) - 1)")).alias("k"))
+    size_of, words_of = np.array([max(1, s.size) for s in sources] or [1], np.int64), np.array([s.words for s in sources] or [1], np.int64)
+
+    @F.arrow_udf("struct<block: bigint, limit: bigint>")
+    def place(s: pa.Array, k: pa.Array) -> pa.Array:
+        which = s.to_numpy()
+        block, limit = block_and_limit(k.to_numpy(), size_of[which], words_of[which], which, seed)
+        return pa.StructArray.from_arrays([pa.array(block), pa.array(limit)], ["block", "limit"])
+
+    slots = slot.select("shard", F.xxhash64("s", "k", F.lit(seed)).alias("slot"), "s", place("s", "k").alias("_p")).select("shard", "slot", "s", "_p.block", "_p.limit")
+    return Mix(sources, documents, slots)
+
+
+def mixed_rows(docs: DataFrame, text: str = "text", length: str | None = None, **how) -> DataFrame:
+    """The mix as rows with the columns of ``docs``: each row as often as it is taken whole, and what is taken in part.
+
+    A part is a row with the words' own text, with the blanks between them; ``length`` names a column that then holds its
+    number of characters.  The words of each source are its target's.
+    """
+    pieces = keep(mix(docs, text=text, **how).pieces(), "pieces")
+    own = lambda name: name if name not in docs.columns else own(name + "_")
+    key, from_word, words, times, every = (own(f"_{x}") for x in ("key", "from_word", "words", "times", "every"))
+    wanted = pieces.toDF(key, from_word, words, times)
+    rows = docs.withColumn(key, row_key(docs))
+    counts = rows.groupBy(key).agg(F.count("*").alias(every)).filter(F.col(every) > 1).select(key)
+    repeated = keep(counts, "repeated")
+    if not repeated.isEmpty():  # equal rows are one, with the pieces of all
+        rows = rows.join(repeated, key, "left_anti").unionByName(rows.join(repeated, key, "left_semi").dropDuplicates([key]))
+    few = wanted.count() <= SMALL_ROWS
+    joined = rows.join(F.broadcast(wanted) if few else wanted, key)
+    cells = F.regexp_extract_all(F.col(text), F.lit(rf"{WORD}[\x20\x09-\x0D]*"), F.lit(0))
+    part = F.array_join(F.slice(cells, F.col(from_word).cast("int") + 1, F.col(words).cast("int")), "")
+    whole = (F.col(from_word) == 0) & (F.col(words) == F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)))
+    new = {text: F.when(whole, F.col(text)).otherwise(part)}
+    if length in docs.columns:
+        new[length] = F.when(whole, F.col(length)).otherwise(F.length(part)).cast(docs.schema[length].dataType)
+    return joined.withColumns(new).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
 
 
 def op10_mixing(spark, sf_dir: str) -> DataFrame:

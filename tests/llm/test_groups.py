@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -189,23 +190,100 @@ def test_permutations():
         assert sorted(out.tolist()) == index.tolist()
 
 
-def test_mix(spark):
+MIXED_SOURCES = ["a", "b", "c", None]
+
+
+def mixed_docs(spark):
     rng = np.random.default_rng(9)
-    rows = [(i, " ".join(["w"] * int(rng.integers(0, 400))), ["a", "b", "c", None][i % 4] if i else "tiny") for i in range(400)] + [(1000, None, "a"), (1001, "x " * 30_000, "b"), (5, "again and again", "a")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("s", F.lit(1))
+    rows = [(i, " ".join([f"w{j}" for j in range(int(rng.integers(0, 400)))]), MIXED_SOURCES[i % 4] if i else "tiny") for i in range(400)]
+    rows += [(1000, None, "a"), (1001, "x " * 30_000, "b"), (5, "again and again", "a"), (None, "no id at all", "a"), (None, "no id at all", "a")]
+    rows += [(2000 + i, f"few {i}\nwords", f"small{i}") for i in range(30)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("s", F.lit(1))
+
+
+def test_mix(spark):
+    rows, docs = mixed_docs(spark)
     plan = MX.mix(docs)
     taken = plan.taken().collect()
     assert len(taken) == len(rows) and all(r["taken"] <= 3 * r["size"] for r in taken)
+    # Sizes and targets by another way: DuckDB's sizes, and shares by bisection of the level at which sources stop.
+    import duckdb
+    import pandas as pd
+
+    frame = pd.DataFrame(rows, columns=["doc_id", "text", "source"])  # noqa: F841
+    sizes = dict(duckdb.sql(r"select source, sum(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))) from frame group by source").fetchall())
+    names = sorted(sizes, key=lambda x: (x is None, x or ""))
+    weigh = {n: (5, 2, 1)[i % 3] for i, n in enumerate(names)}
+    low, high = 0.0, float(sum(sizes.values()))
+    for _ in range(200):
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(3 * sizes[n], level * weigh[n]) for n in names) < sum(sizes.values()) else (low, level)
+    assert {s.name: s.size for s in plan.sources} == sizes
+    assert all(abs(s.target - min(3 * sizes[s.name], level * weigh[s.name])) < 1e-6 * max(1, s.target) for s in plan.sources)
     for s in plan.sources:
         got = sum(r["taken"] for r in taken if r["source_size"] == s.size and r["target"] == s.target)
-        assert abs(got - s.target) <= max(MX.BLOCK_WORDS, 0.02 * s.target)
+        same = sum(t.size == s.size and t.target == s.target for t in plan.sources)
+        assert got == same * round(s.target)
     again = MX.mix(docs.repartition(7)).taken().collect()
     assert sorted(map(str, again)) == sorted(map(str, taken))
+    # What is taken of each document, counted word by word over the slots of the mix.
+    placed, words = plan.documents.collect(), {}
+    stream = {(d["s"], d["begin"] + i): d["begin"] for d in placed for i in range(d["size"])}
+    for slot in plan.slots.collect():
+        for at in range(slot["block"] * MX.BLOCK_WORDS, slot["block"] * MX.BLOCK_WORDS + slot["limit"]):
+            if (slot["s"], at) in stream:
+                key = slot["s"], stream[slot["s"], at]
+                words[key] = words.get(key, 0) + 1
+    want = Counter((d["doc_id"], d["size"], words.get((d["s"], d["begin"]), 0) if d["size"] else 0) for d in placed)
+    assert want == Counter((r["doc_id"], r["size"], r["taken"]) for r in taken)
     slots = plan.blocks().collect()
     assert sum(p["words"] for b in slots for p in b["parts"]) == sum(r["taken"] for r in taken)
     assert MX.mix(docs.limit(0)).taken().count() == 0
 
 
+def test_mixed_rows(spark):
+    """The rows of the mix have the words of each source's target, each a run of its document's own text."""
+    rows, docs = mixed_docs(spark)
+    out = MX.mixed_rows(docs.withColumn("n_chars", F.length("text").cast("int")), length="n_chars")
+    assert out.columns == [*docs.columns, "n_chars"]
+    got, texts, found = out.collect(), {}, {}
+    for i, t, s in rows:
+        texts.setdefault((i, s), []).append(t)
+    for r in got:
+        assert any(t and r["text"] in t for t in texts[r["doc_id"], r["source"]]) and r["n_chars"] == len(r["text"])
+        found[r["source"]] = found.get(r["source"], 0) + len(r["text"].split())
+    assert found == {s.name: s.words for s in MX.mix(docs).sources if s.words}
+    assert any(r["doc_id"] is None for r in got)
+    assert MX.mixed_rows(docs.limit(0)).count() == 0
+
+
+def test_shards_of_many_slots(spark):
+    """Two thousand million slots are drawn without data: every slot of a source has one shard."""
+    sources = [MX.Source("a", 10**12, 1.9e12), MX.Source("b", 5 * 10**11, 1e11), MX.Source("c", 100, 50.0)]
+    assert sum(s.slots for s in sources) > 15e9
+    rows = MX.plan_shards(spark, sources, 7, shard_slots=1 << 22).collect()
+    for i, s in enumerate(sources):
+        own = sorted((r["first"], r["n"], r["part"]) for r in rows if r["s"] == i)
+        assert sum(n for _, n, _ in own) == s.slots and all(a + n == b for (a, n, _), (b, _, _) in zip(own, own[1:]))
+        assert [p for *_, p in own] == sorted({p for *_, p in own})
+    sizes = Counter()
+    for r in rows:
+        sizes[r["part"]] += r["n"]
+    assert max(sizes.values()) < 1.02 * (1 << 22)
+    assert sorted(map(str, rows)) == sorted(map(str, MX.plan_shards(spark, sources, 7, shard_slots=1 << 22).collect()))
+
+
+def test_each_pass_takes_each_block_once():
+    for size, words in ((1000, 2500), (128, 300), (100, 250), (1280, 1279), (5000, 5000), (7, 3), (130, 129)):
+        source = MX.Source("x", size, float(words))
+        k = np.arange(source.slots)
+        block, limit = MX.block_and_limit(k, np.full(len(k), size), np.full(len(k), words), np.zeros(len(k), np.int64), 3)
+        assert sum(min(n, size - b * MX.BLOCK_WORDS) for b, n in zip(block.tolist(), limit.tolist())) == words
+        for p in range(source.passes):
+            assert sorted(block[p * source.blocks : (p + 1) * source.blocks].tolist()) == list(range(source.blocks))
+        assert len(set(block[source.passes * source.blocks :].tolist())) == source.slots - source.passes * source.blocks
+
+
 def test_language_stage_drops_unseen_scripts(spark, small):
     """Scripts that the model hasn't seen have letters but no recognisable language; op9 itself still names one."""
     import corpus_pipeline as CP
@@ -239,5 +317,28 @@ def test_pipeline(spark, small):
     assert near.count() == MD.near_copies(exact).filter("kept").count() and near.columns == docs.columns
     mixed = CP.mixing_stage(spark, near, small)
     assert mixed.columns == docs.columns and set(r["doc_id"] for r in mixed.collect()) <= set(r["doc_id"] for r in near.collect())
+    words = {r["source"]: r["n"] for r in mixed.groupBy("source").agg(F.sum(F.regexp_count("text", F.lit(MX.WORD))).alias("n")).collect()}
+    assert words == {s.name: s.words for s in MX.mix(near).sources if s.words}
     out = CP.run(spark, small)
     assert out.filter("not round_trip").count() == 0 and out.count() == CP.run(spark, small).count() > 0
+
+
+def test_pipeline_edges(spark, small):
+    """Rows without an id, repeated ids and rows, a source without a name, columns with the stages' own names; no rows."""
+    import corpus_pipeline as CP
+
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    text = docs.filter("lang = 'en' and n_chars > 300").orderBy("doc_id").first()["text"]
+    odd = [(None, text + " and of the one", "en", "a", 1), (None, text + " and of the one", "en", "a", 1), (7, "the and of " + text[50:], "en", None, 1), (7, "of the end " + text[90:], "en", None, 1), (10**7, text, "en", "a", 1), (10**7, text, "en", "a", 1)]
+    frame = docs.union(spark.createDataFrame(odd, docs.schema))
+    for name in ("_language", "_key", "_words", "_times", "tile", "s", "block", "size", "row_key"):
+        frame = frame.withColumn(name, F.lit("x"))
+    for rows in (frame, frame.limit(0)):
+        now = rows
+        for name, stage in CP.STAGES[:-1]:
+            was, now = now.count(), CP.keep(stage(spark, now, small), name)
+            assert now.columns == rows.columns and now.count() <= (3 if name == "mixing" else 1) * was + 10**4
+            if name != "mixing" and was:
+                assert now.filter("doc_id is null").count() == 2  # never dropped as copies
+        assert CP.STAGES[-1][1](spark, now, small).count() == now.count()
+    assert now.count() == 0
