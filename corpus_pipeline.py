@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lodestrata.llm.exact_dedup import find_copies
 from lodestrata.llm.language_id import UNKNOWN, fit, predictor
 from lodestrata.llm.minhash_dedup import near_copies
-from lodestrata.llm.mixing import mix
+from lodestrata.llm.mixing import mixed_rows
 from lodestrata.llm.sentence_pieces import model_bytes, piece_columns
 from lodestrata.llm.shared import keep
 
@@ -53,13 +53,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document appears as often as the mix takes its words; a part of its words counts as a chance drawn by its id."""
-    taken = mix(docs).taken().filter("size > 0")
-    chance = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    own = _unused(docs, "_times")
-    times = taken.groupBy("doc_id").agg(F.floor(F.max(F.col("taken") / F.col("size") + chance)).cast("int").alias(own)).filter(F.col(own) > 0)
-    copies = F.explode(F.sequence(F.lit(1), F.col(own))).alias(_unused(docs, "_copy"))
-    return _joined(docs, times, "inner").select(*docs.columns, copies).select(*docs.columns)
+    """The mix: each document as often as all its words are taken, and the parts of it that are taken besides."""
+    return mixed_rows(docs, length="n_chars").select(*docs.columns)
 
 
 def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
