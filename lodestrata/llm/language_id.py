@@ -72,12 +72,13 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(code), pa.string()), pa.array(code.astype(np.int64)), pa.array(n)], ["lang", "gram", "n"])
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", max_docs: int = 3000, max_grams: int = 200_000, keep_share: float = 0.6, bits: int = 20) -> LanguageModel:
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", max_docs: int = 3000, min_count: int = 3, keep_share: float = 0.6, bits: int = 20) -> LanguageModel:
     """Learn a model from the rows that have a language and are not held out.
 
     A classifier may be fitted on a bounded sample: about ``max_docs`` whole documents of each language, chosen by a
-    hash of the id, and of their n-grams the ``max_grams`` most frequent typical ones.  Rows without a language or text
-    teach nothing.  No rows to learn from give a model without languages, which calls every text unknown.
+    hash of the id.  All their typical n-grams that occur ``min_count`` times in the sample are learned; the filters have
+    2 ** ``bits`` slots, or more if the fullest would have over half of them set.  Rows without a language or text teach
+    nothing.  No rows to learn from give a model without languages, which calls every text unknown.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -86,15 +87,15 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     names = sorted(counts, key=lambda x: (-counts[x], x))
     width = 8 if len(names) <= 8 else 64
-    slots = np.zeros((1 << bits, max(1, -(-len(names) // width))), np.uint8 if width == 8 else np.uint64)
+    empty = lambda n: np.zeros((1 << n, max(1, -(-len(names) // width))), np.uint8 if width == 8 else np.uint64)
     if not names:
-        return LanguageModel((), slots, np.zeros(0))
+        return LanguageModel((), empty(bits), np.zeros(0))
     share = F.create_map(*[F.lit(x) for k in names for x in (k, max_docs / counts[k])])
     sample = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003).select("text", "lang")
     per = sample.mapInArrow(lean(_count_grams), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = {r["lang"]: r["n"] for r in per.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     if not totals:
-        return LanguageModel((), slots, np.zeros(0))
+        return LanguageModel((), empty(bits), np.zeros(0))
     index = {k: i for i, k in enumerate(names)}
     total = F.create_map(*[F.lit(x) for k in totals for x in (k, float(totals[k]))])
     number = F.create_map(*[F.lit(x) for k in index for x in (k, index[k])])
@@ -102,16 +103,18 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
         per.withColumn("share", F.col("n") / total[F.col("lang")])
         .groupBy("gram")
         .agg(F.sum("n").alias("n"), F.max("share").alias("top"), F.collect_list(F.struct(number[F.col("lang")].alias("l"), "share")).alias("each"))
-        .filter(F.col("n") >= 3)
-        .select("gram", "n", F.transform(F.filter("each", lambda x: x["share"] >= keep_share * F.col("top")), lambda x: x["l"]).alias("langs"))
+        .filter(F.col("n") >= min_count)
+        .select("gram", F.transform(F.filter("each", lambda x: x["share"] >= keep_share * F.col("top")), lambda x: x["l"]).alias("langs"))
         .filter(F.size("langs") < max(2, len(names)))
-        .orderBy(F.desc("n"), "gram")
-        .limit(max_grams)
-        .toArrow()
+        .toArrow()  # n-grams of the sample
     )
     codes = typical["gram"].to_numpy().astype(np.uint64)
     lists = typical["langs"].combine_chunks()
     row, which = np.repeat(np.arange(len(codes)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()
+    fullest = int(np.bincount(which, minlength=1).max()) * len(PROBES)
+    while 2 * fullest > 1 << bits:
+        bits += 1
+    slots = empty(bits)
     for slot in slot_numbers(codes[row], bits):
         np.bitwise_or.at(slots, (slot, which // width), np.left_shift(slots.dtype.type(1), (which % width).astype(slots.dtype)))
     fill = np.array([np.mean((slots[:, i // width] >> slots.dtype.type(i % width)) & slots.dtype.type(1)) for i in range(len(names))])

@@ -4,8 +4,8 @@ A text's symbols are merged by a score-ordered agenda: all adjacent pairs that f
 first and then leftmost; the best one is merged and its new neighbours join the agenda.  Symbols that are no piece fall
 back to their bytes.  No piece of such a vocabulary has the space mark behind another character or a line end beside one,
 so that a run of space marks, or a line end, is encoded alone with what follows it.  Signs that no piece has behind a
-letter are cut from the words before them.  Each chunk that a worker hasn't met yet is encoded by the agenda and, in the
-same Arrow batch, by the sentencepiece library; the two must agree.
+letter are cut from the words before them.  Each chunk that a worker hasn't met yet is encoded and decoded here and, in
+the same Arrow batch, by the sentencepiece library; where the two disagree the job fails.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -27,8 +28,8 @@ CHUNK = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n[^{SPACE}\n]*")
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Signs that may be cut from words, and what marks such a chunk: no text of UTF-8 has it.
 SIGNS, CUT = ".,!?;:*#%&$", "\ud800"
-#: Chunks that a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 400_000, 48
+#: Chunks that a worker remembers (some 25 MB), and the longest of them.
+REMEMBERED, LONGEST = 120_000, 48
 
 
 @dataclass(frozen=True)
@@ -158,7 +159,6 @@ class Encoder:
         self.vocabulary = read_vocabulary(model)
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.known: dict[str, str | tuple[str, str]] = {}
-        self.differ = 0
         signs = [s for s in SIGNS if not any(re.search(f"[A-Za-z]{re.escape(s)}", p) for p in self.vocabulary.number)]
         self.tail = re.compile(rf"(?<=[A-Za-z])([{re.escape(''.join(signs))}]+)(?=[ \n]|\Z)") if signs else re.compile("(?!)()")
         self.numeral = [str(i) for i in range(len(self.vocabulary.pieces))]
@@ -172,6 +172,7 @@ class Encoder:
         checks = self.library.encode(["a" + c[1:] if c[:1] == CUT else c for c in chunks], num_threads=1)
         vocabulary, numeral, plain = self.vocabulary, self.numeral, self.plain
         new, mark, letter = {}, encode_chunk(SPACE, vocabulary), encode_chunk(SPACE + "a", vocabulary)
+        every, decoded = [], []
         for chunk, check in zip(chunks, checks, strict=True):
             if chunk[:1] == "\n":
                 ids, check = encode_chunk(chunk, vocabulary), check[len(mark) :]
@@ -180,13 +181,15 @@ class Encoder:
             else:
                 ids = encode_chunk(SPACE + chunk, vocabulary)
             if chunk and ids != check:  # the library drops an empty text, which is a chunk of one mark here
-                self.differ += 1
-                ids = check
+                raise ValueError(f"agenda and library disagree on the ids of {chunk!r}")
             texts = [plain[i] for i in ids]
-            decoded = decode_ids(ids, vocabulary, begins=False) if None in texts else "".join(texts)
+            every.append(ids)
+            decoded.append(decode_ids(ids, vocabulary, begins=False) if None in texts else "".join(texts))
+        for chunk, ids, own, check in zip(chunks, every, decoded, self.library.decode(every), strict=True):
+            if check != (own[1:] if own[:1] == " " else own):
+                raise ValueError(f"decoding here and by the library disagree on {chunk!r}")
             written = ",".join([numeral[i] for i in ids])
-            same = decoded == self._text(chunk)
-            new[chunk] = written if same else (written, decoded)
+            new[chunk] = written if own == self._text(chunk) else (written, own)
         return new
 
     def chunks(self, text: str) -> list[str]:
@@ -223,33 +226,32 @@ class Encoder:
 
 
 def piece_columns(spark, model: bytes):
-    """A column function text -> struct(n_tokens, ids, decoded, n_differ); ids are decimal and joined by commas."""
+    """A column function text -> struct(n_tokens, ids, decoded); ids are decimal and joined by commas."""
     small_batches(spark)
 
-    @F.arrow_udf("struct<n_tokens: bigint, ids: string, decoded: string, n_differ: bigint>")
-    def pieces(texts: pa.Array) -> pa.Array:
+    @F.arrow_udf("struct<n_tokens: bigint, ids: string, decoded: string>")
+    def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = worker_state(f"pieces-{hashlib.sha256(model).hexdigest()}", lambda: Encoder(model))
-        rows = strings(texts)
-        counts, ids, decoded, differ = [], [], [], []
-        for lo, hi in steps([len(t) for t in rows], 1 << 19):
-            for n, own, text in encoder.encode(rows[lo:hi]):
-                counts.append(n)
-                ids.append(own)
-                decoded.append(text)
-            differ += [encoder.differ] * (hi - lo)
+        for texts in batches:
+            rows, counts, ids, decoded = strings(texts), [], [], []
+            for lo, hi in steps([len(t) for t in rows], 1 << 19):
+                for n, own, text in encoder.encode(rows[lo:hi]):
+                    counts.append(n)
+                    ids.append(own)
+                    decoded.append(text)
+            yield pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["n_tokens", "ids", "decoded"])
         trim()
-        return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string()), pa.array(differ, pa.int64())], ["n_tokens", "ids", "decoded", "n_differ"])
 
     return pieces
 
 
 def encode_pieces(docs: DataFrame, model: bytes, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id, n_tokens, ids, decoded, n_differ`` for every row, without begin and end ids.
+    """``doc_id, n_tokens, ids, decoded`` for every row, without begin and end ids.
 
     Null and empty texts have no ids and decode to an empty text.  Whole texts of any length are encoded; chunks over
-    ``LONGEST`` characters are encoded each time they are met.  ``n_differ`` counts the chunks on which agenda and library
-    differed in this worker so far (0 unless one of them is wrong; the library's ids are then taken).  Repeated rows are
-    encoded each; an empty table gives no rows; other columns are not read, so their names can't clash.
+    ``LONGEST`` characters are encoded each time they are met.  A chunk on which agenda and library disagree stops the
+    job.  Repeated rows are encoded each; an empty table gives no rows; other columns are not read, so their names can't
+    clash.
     """
     return docs.select(F.col(doc_id).alias("doc_id"), piece_columns(docs.sparkSession, model)(F.col(text)).alias("_p")).select("doc_id", "_p.*")
 

@@ -3,7 +3,7 @@
 A block holds the ids of some thousand documents in one array, and three Elias-Fano lists: where each document ends, and
 the distances of the documents' ids from the block's least one.  An Elias-Fano list of n values up to u keeps the low
 log2(u/n) bits of each value packed and the rest as a bit vector of at most 3n bits; ``select`` finds the i-th set bit
-from samples of every 256th, so that no table of 64-bit offsets is needed.
+from samples of every 256th, ``select_many`` those of many documents at once, so that no table of 64-bit offsets is needed.
 
 Blocks are rows of a Parquet table, so that a retried or doubled task leaves no torn file: ``part`` and ``block`` order
 them, ``before`` is the number of ids of the same part before the block, ``payload`` the bytes.
@@ -31,6 +31,12 @@ REMEMBERED, LONGEST = 700_000, 40
 BLOCKS = "part int, block int, before long, n_docs long, n_ids long, payload binary"
 
 
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
+#: For each byte its number of set bits, and the place of each of them.
+ONES = _BITS.sum(axis=1, dtype=np.int64)
+PLACES = np.argsort(1 - _BITS, axis=1, kind="stable").astype(np.int64)
+
+
 class EliasFano:
     """A list of non-decreasing values from 0 up."""
 
@@ -69,14 +75,26 @@ class EliasFano:
             value = value * 2 + (int(self.low[at >> 3]) >> (at & 7) & 1)
         return value
 
-    def all(self) -> np.ndarray:
-        high = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n] - np.arange(self.n)
-        values = high.astype(np.uint64) << np.uint64(self.low_bits)
-        if self.low_bits:
-            bits = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits)
-            values |= (bits.astype(np.uint64) << np.arange(self.low_bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+    def select_many(self, index: np.ndarray) -> np.ndarray:
+        """Positions of several set bits: by the number of ones before each byte, and a table of a byte's bits."""
+        before = np.concatenate([[0], np.cumsum(ONES[self.high])])
+        byte = np.searchsorted(before, index, side="right") - 1
+        return byte * 8 + PLACES[self.high[byte], index - before[byte]]
+
+    def many(self, index: np.ndarray) -> np.ndarray:
+        """The values at ``index``."""
+        index = np.asarray(index, np.int64)
+        if not len(index):
+            return np.zeros(0, np.uint64)
+        values = (self.select_many(index) - index).astype(np.uint64)
+        for b in range(self.low_bits - 1, -1, -1):
+            at = index * self.low_bits + b
+            values = values * np.uint64(2) + (self.low[at >> 3] >> (at & 7).astype(np.uint8) & 1)
         return values
 
+    def all(self) -> np.ndarray:
+        return self.many(np.arange(self.n))
+
     def to_bytes(self) -> bytes:
         return struct.pack("<QQQQ", self.n, self.low_bits, len(self.low), len(self.high)) + self.low.tobytes() + self.high.tobytes() + self.samples.astype("<u4").tobytes()
 
@@ -116,6 +134,13 @@ class Block:
     def doc_ids(self) -> list[int | None]:
         return [None] * self.none + [self.least + int(d) for d in self.distances.all()]
 
+    def offsets(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of the documents at ``index`` begin and end, by ``select`` on the boundaries."""
+        ends = self.ends.many(index).astype(np.int64)
+        begins = np.zeros(len(ends), np.int64)
+        begins[index > 0] = self.ends.many(index[index > 0] - 1)
+        return begins, ends
+
     def document(self, i: int) -> np.ndarray:
         return self.ids[self.ends[i - 1] if i else 0 : self.ends[i]]
 
@@ -221,8 +246,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for data, start in zip(batch["payload"].to_pylist(), batch["start"].to_pylist(), strict=True):
             block = Block(data)
-            ends = block.ends.all().astype(np.int64)
-            begins = np.concatenate([[0], ends[:-1]])
+            begins, ends = block.offsets(np.arange(len(block)))
             crc = [zlib.crc32(block.ids[b:e].astype("<u4").tobytes()) for b, e in zip(begins, ends, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(block.doc_ids(), pa.int64()), pa.array(begins + start), pa.array(ends - begins), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
