@@ -32,7 +32,7 @@ HASHES = BANDS * BAND_ROWS
 #: An estimate below this can't be of a pair at 0.85 (5 standard deviations of HASHES minima).
 SLACK = 0.17
 #: Members of a tile, and shingles of their sets in one where these are compared (4 MB).
-TILE_ROWS, TILE_SHINGLES = 1024, 500_000
+TILE_ROWS, TILE_SHINGLES = 512, 500_000
 #: A table of ids of so many rows at most (about 16 MB) may be broadcast.
 SMALL_ROWS = 400_000
 

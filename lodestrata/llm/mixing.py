@@ -31,8 +31,6 @@ BLOCK_WORDS = 128
 SHARD_SLOTS, GROUP_SHARDS, CHUNK_SLOTS = 1 << 16, 1 << 10, 1 << 13
 #: Documents of a bucket, and buckets of a stretch, in which running sums are made.
 DOCS_A_BUCKET, BUCKETS_A_STRETCH = 500, 500
-#: A table of pieces of so many rows at most (about 20 MB) may be broadcast.
-SMALL_ROWS = 400_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -281,22 +279,24 @@ def mixed_rows(docs: DataFrame, text: str = "text", length: str | None = None, *
     """
     pieces = keep(mix(docs, text=text, **how).pieces(), "pieces")
     own = lambda name: name if name not in docs.columns else own(name + "_")
-    key, from_word, words, times, every = (own(f"_{x}") for x in ("key", "from_word", "words", "times", "every"))
-    wanted = pieces.toDF(key, from_word, words, times)
+    key, taken, cells, out = (own(f"_{x}") for x in ("key", "taken", "cells", "out"))
+    wanted = pieces.groupBy(F.col("row_key").alias(key)).agg(F.sort_array(F.collect_list(F.struct("from_word", "words", "times"))).alias(taken))
     rows = docs.withColumn(key, row_key(docs))
-    counts = rows.groupBy(key).agg(F.count("*").alias(every)).filter(F.col(every) > 1).select(key)
-    repeated = keep(counts, "repeated")
+    repeated = keep(rows.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select(key), "repeated")
     if not repeated.isEmpty():  # equal rows are one, with the pieces of all
         rows = rows.join(repeated, key, "left_anti").unionByName(rows.join(repeated, key, "left_semi").dropDuplicates([key]))
-    few = wanted.count() <= SMALL_ROWS
-    joined = rows.join(F.broadcast(wanted) if few else wanted, key)
-    cells = F.regexp_extract_all(F.col(text), F.lit(rf"{WORD}[\x20\x09-\x0D]*"), F.lit(0))
-    part = F.array_join(F.slice(cells, F.col(from_word).cast("int") + 1, F.col(words).cast("int")), "")
-    whole = (F.col(from_word) == 0) & (F.col(words) == F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)))
-    new = {text: F.when(whole, F.col(text)).otherwise(part)}
+    # Exploding one value keeps it from being computed for each piece; a text that is only taken whole isn't cut.
+    parts = F.exists(taken, lambda p: (p["from_word"] > 0) | (p["words"] < F.regexp_count(F.col(text), F.lit(WORD))))
+    cut = F.when(parts, F.regexp_extract_all(F.col(text), F.lit(rf"{WORD}[\x20\x09-\x0D]*"), F.lit(0)))
+    joined = rows.join(wanted, key).select("*", F.explode(F.array(cut)).alias(cells))
+    whole = lambda p: F.col(cells).isNull() | ((p["from_word"] == 0) & (p["words"] == F.size(cells)))
+    piece = lambda p: F.struct(whole(p).alias("whole"), F.when(~whole(p), F.array_join(F.slice(cells, p["from_word"].cast("int") + 1, p["words"].cast("int")), "")).alias("part"), p["times"].alias("times"))
+    joined = joined.withColumn(out, F.explode(F.transform(taken, piece)))
+    new = {text: F.when(F.col(out)["whole"], F.col(text)).otherwise(F.col(out)["part"])}
     if length in docs.columns:
-        new[length] = F.when(whole, F.col(length)).otherwise(F.length(part)).cast(docs.schema[length].dataType)
-    return joined.withColumns(new).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
+        new[length] = F.when(F.col(out)["whole"], F.col(length)).otherwise(F.length(F.col(out)["part"])).cast(docs.schema[length].dataType)
+    times = F.explode(F.sequence(F.lit(1), F.col(out)["times"])).alias(own("_time"))
+    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns], times).select(*docs.columns)
 
 
 def op10_mixing(spark, sf_dir: str) -> DataFrame:
