@@ -3,8 +3,9 @@
 Each rule is a small regular expression over bytes.  Its positions (Glushkov) and those of the other rules are joined,
 subset construction gives one deterministic automaton, and partition refinement makes it minimal.  Its transitions lie in
 one array over byte classes.  A scan reads each byte of a batch once: the batch is cut into lanes that step together, and
-a lane that began in the wrong state is stepped again until it meets the states it had.  Texts with a hit are then cut
-into exact spans by each rule's own small automata.
+a lane that began in the wrong state is stepped again until it meets the states it had.  Texts with a hit are scanned
+likewise by the hit rule's own automaton, whose first state parts them into stretches that no match crosses.  Only
+stretches with a hit are cut into exact spans, byte by byte.
 """
 
 from __future__ import annotations
@@ -265,6 +266,7 @@ def compile_rules(patterns: list[tuple[str, bool]], anywhere: bool, backward: bo
 class Scanner:
     rules: tuple[Rule, ...]
     together: Automaton
+    alone: tuple[Automaton, ...]
     backward: tuple[Automaton, ...]
     longest: tuple[Automaton, ...]
     needed: tuple[Automaton, ...]
@@ -273,11 +275,11 @@ class Scanner:
 @lru_cache(4)
 def scanner(rules: tuple[Rule, ...] = BASE + MORE) -> Scanner:
     each = lambda of, **how: tuple(compile_rules([(of(r), r.any_case)], **how) for r in rules)
-    return Scanner(rules, compile_rules([(r.cue, r.any_case) for r in rules], anywhere=True), each(lambda r: r.pattern, anywhere=True, backward=True), each(lambda r: r.pattern, anywhere=False), each(lambda r: r.need, anywhere=False))
+    return Scanner(rules, compile_rules([(r.cue, r.any_case) for r in rules], anywhere=True), each(lambda r: r.pattern, anywhere=True), each(lambda r: r.pattern, anywhere=True, backward=True), each(lambda r: r.pattern, anywhere=False), each(lambda r: r.need, anywhere=False))
 
 
-def scan(buffer: np.ndarray, dfa: Automaton) -> tuple[np.ndarray, np.ndarray]:
-    """Where the automaton accepts and which rules, from one pass over ``buffer`` (which begins in state 0)."""
+def states_of(buffer: np.ndarray, dfa: Automaton) -> np.ndarray:
+    """The state after each byte of ``buffer``, which begins in state 0 and may be followed by some more."""
     lanes = max(1, min(4096, len(buffer) // 256))
     length = -(-len(buffer) // lanes)
     classes = np.full(lanes * length, dfa.class_of[SEPARATOR], np.uint8)
@@ -303,13 +305,27 @@ def scan(buffer: np.ndarray, dfa: Automaton) -> tuple[np.ndarray, np.ndarray]:
             live, now = live[differ], now[differ]
             states[j, live] = now
         todo = live[live < lanes - 1] + 1
-    flat = states.T.ravel()
+    return states.T.ravel()
+
+
+def scan(buffer: np.ndarray, dfa: Automaton) -> tuple[np.ndarray, np.ndarray]:
+    """Where the automaton accepts and which rules, from one pass over ``buffer``."""
+    flat = states_of(buffer, dfa)
     hit = np.flatnonzero(flat >= dfa.accepting)
     return hit, dfa.accepts[flat[hit] // dfa.classes]
 
 
+def stretches(buffer: np.ndarray, dfa: Automaton, hits: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of bytes behind which a match may still go on, if one of ``hits`` (ascending) is in them: no match crosses their ends."""
+    open_ = np.concatenate([[False], states_of(buffer, dfa)[: len(buffer)] != 0, [False]])
+    edge = np.flatnonzero(open_[1:] != open_[:-1])
+    begins, ends = edge[::2], edge[1::2]
+    some = np.searchsorted(hits, begins) < np.searchsorted(hits, ends)
+    return list(zip(begins[some].tolist(), ends[some].tolist(), strict=True))
+
+
 def spans_of(text: bytes, rule: int, machine: Scanner) -> list[tuple[int, int]]:
-    """Byte spans of one rule in a whole text."""
+    """Byte spans of one rule in a text, or in a stretch of one that no match crosses."""
     back, ahead, need = machine.backward[rule], machine.longest[rule], machine.needed[rule]
     state, begins = 0, []
     step, accepting = back.step, back.accepting
@@ -350,19 +366,32 @@ def find_secrets(parts: list[bytes], machine: Scanner) -> list[list[tuple[int, i
         where, which = scan(buffer, machine.together)
         if not len(where):
             continue
+        found: dict[int, list[tuple[int, int, int]]] = {}
         doc = np.searchsorted(ends, where, side="right")
-        for d in np.unique(doc):
-            rules = int(np.bitwise_or.reduce(which[doc == d]))
-            text, found = own[d], []
-            for r in range(len(machine.rules)):
-                if rules >> r & 1:
-                    found += [(b, r, e) for b, e in spans_of(text, r, machine)]
-            cuts = sorted({x for b, _, e in found for x in (b, e)})
+        begins = ends - np.array([len(p) + 1 for p in own])
+        for r in range(len(machine.rules)):
+            of = which >> r & 1 == 1
+            if not of.any():
+                continue
+            docs = np.unique(doc[of])
+            if len(docs) == len(own):
+                text, hits, first = buffer, where[of], begins[docs]
+            else:  # the texts that the rule has hit, with the separators behind them
+                text = np.concatenate([buffer[begins[d] : ends[d]] for d in docs])
+                first = np.concatenate([[0], np.cumsum(ends[docs] - begins[docs])[:-1]])
+                hits = where[of] - (begins[docs] - first)[np.searchsorted(docs, doc[of])]
+            raw = text.tobytes()
+            for lo_, hi_ in stretches(text, machine.alone[r], hits):
+                at = int(np.searchsorted(first, lo_, side="right")) - 1
+                base = lo_ - int(first[at])
+                found.setdefault(int(docs[at]), []).extend((base + b, r, base + e) for b, e in spans_of(raw[lo_:hi_], r, machine))
+        for d, spans in found.items():
+            cuts = sorted({x for b, _, e in spans for x in (b, e)})
             points, seen, at = {}, 0, 0
             for cut in cuts:
-                seen, at = seen + len(text[at:cut].decode("utf-8", "replace")), cut
+                seen, at = seen + len(own[d][at:cut].decode("utf-8", "replace")), cut
                 points[cut] = seen
-            out[lo + d] = sorted((points[b], r, points[e]) for b, r, e in found)
+            out[lo + d] = sorted((points[b], r, points[e]) for b, r, e in spans)
     return out
 
 

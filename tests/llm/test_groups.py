@@ -172,7 +172,36 @@ def test_archives(spark):
     assert bodies == {(h or "").encode() for _, _, h in rows}
     assert W.archive_pages(pages.limit(0), new_path(spark, "warc")).count() == 0
     with pytest.raises(ValueError, match="torn"):
-        list(W.walk(memoryview(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc\r\n\r\n"), True))
+        list(W.walk(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc\r\n\r\n", True))
+
+
+def test_archives_of_odd_pages(spark, monkeypatch):
+    """Repeated rows, rows of one id that differ, null ids and long pages in small files; each record is a gzip member."""
+    import gzip
+    import random
+
+    monkeypatch.setattr(W, "FILE_BYTES", 20_000)
+    noise = random.Random(1)
+    long = "".join(chr(noise.randrange(32, 1000)) for _ in range(300_000))
+    rows = [(1, "u", "same " * 50)] * 3 + [(2, "u", "same " * 50)] * 2 + [(3, "a", "x"), (3, "b", "y"), (3, "a", "x"), (None, "u", "z"), (None, "u", "same " * 50)] + [(10 + i, "u", long + str(i)) for i in range(3)]
+    path = new_path(spark, "warc")
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted(((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in W.archive_pages(pages.coalesce(1), path).collect()), key=str)
+    want = [(i, len(h.encode()), "revisit" if i != 1 and h.startswith("same") else "response", 1 if i != 1 and h.startswith("same") else None) for i, _, h in rows]
+    assert got == sorted(want, key=str)
+    files = [bytes(r["content"]) for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).collect()]
+    assert len(files) > 3
+    for data in files:
+        records = list(W.members(memoryview(data)))
+        assert b"".join(records) == gzip.decompress(data) and all(m.startswith(b"WARC/") and m.endswith(b"\r\n\r\n") for m in records if m)
+
+
+def test_long_http_heads():
+    head = "HTTP/1.1 200 OK\r\n" + "".join(f"X-{i}: {'y' * 100}\r\n" for i in range(1000)) + "\r\n"
+    block = (head + "payload").encode()
+    record = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(block), block)
+    (row,) = W.walk(record, True)
+    assert len(head) > 100_000 and row[-1] == b"payload" and row[9] == 7
 
 
 def test_targets():

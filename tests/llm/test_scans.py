@@ -55,6 +55,17 @@ def test_automata_are_minimal_and_any_lane_count_agrees():
     assert S.scan(buffer, machine.together)[0].tolist() == hits
 
 
+def test_secrets_of_long_texts():
+    """Texts of a megabyte with many hits, and hits in some texts of a batch only."""
+    rng = np.random.default_rng(12)
+    filler = ["word ", "abc ", "the deadbeef ", "token ", "= ", "é", "AKIA ", "key:"]
+    hits = ["token = abcdefgh ", "0123456789abcdef" * 3 + " ", "AKIA" + "Z9" * 10 + " ", "secret:'x1x1x1x1' "]
+    long = ["".join(rng.choice(filler + hits, 60_000, p=[0.12] * 8 + [0.01] * 4)) for _ in range(2)]
+    texts = ["none here", *long, "", "token = abcdefgh", "f" * 200_000, "no"]
+    found = S.find_secrets([t.encode() for t in texts], S.scanner())
+    assert [[x for x in own if x[1] < 3] for own in found] == [secrets(t) for t in texts]
+
+
 def test_secret_query(spark):
     docs = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(WEIRD)], "doc_id long, text string, found string")
     rows = S.digest_spans(S.scan_secrets(docs), [k for k, _, _ in BASE]).orderBy("doc_id").collect()
