@@ -1,11 +1,13 @@
 """Personal data and the terms that reveal it, with DataFrame functions only.
 
-Patterns find e-mail addresses, IP addresses, card and phone numbers.  Each value found is a protected entity.  A term
-that stands in several documents of an entity, and hardly anywhere else in the corpus, reveals it: with p(c), p(t) and
-p(c, t) the shares of documents that hold entity c, term t and both, their pointwise mutual information is compared with
-the entity's information content -log2 p(c), as in Sanchez and Batet's C-sanitisation (2016).  A ratio of 1 means that
-whoever reads the term knows the entity.  In the documents that hold the entity, terms over ``remove_at`` are removed
-and terms over ``generalise_at`` are replaced by their class.
+Patterns find e-mail addresses, IP addresses, card and phone numbers.  Each value found is a protected entity, and so is
+what values have in common: the domain of an address, the networks of an IP address, the issuer of a card and the area of
+a phone number, which occur in more documents than any one value.  A term that stands in several documents of an entity,
+and hardly anywhere else in the corpus, reveals it: with p(c), p(t) and p(c, t) the shares of documents that hold entity c,
+term t and both, their pointwise mutual information is compared with the entity's information content -log2 p(c), as in
+Sanchez and Batet's C-sanitisation (2016).  A ratio of 1 means that whoever reads the term knows the entity.  In the
+documents that hold the entity, terms over ``remove_at`` are removed and terms over ``generalise_at`` are replaced by their
+class.
 """
 
 from __future__ import annotations
@@ -56,20 +58,79 @@ CHECK = {
 }
 
 
+def levels(span: Column) -> Column:
+    """The entities that a span stands for: its value and what it has in common with others."""
+    value = F.lower(span["value"])
+    digits, parts = _digits(value), F.split(value, r"\.")
+    common = (
+        F.when(span["kind"] == "email", F.array(F.concat(F.lit("domain:"), F.substring_index(value, "@", -1))))
+        .when(span["kind"] == "ip", F.array(F.concat(F.lit("network:"), F.array_join(F.slice(parts, 1, 3), ".")), F.concat(F.lit("network:"), F.array_join(F.slice(parts, 1, 2), "."))))
+        .when(span["kind"] == "card", F.array(F.concat(F.lit("issuer:"), F.substring(digits, 1, 6))))
+        .otherwise(F.array(F.concat(F.lit("area:"), F.substring(digits, 1, 4))))
+    )
+    return F.concat(F.array(F.concat(span["kind"], F.lit(":"), value)), common)
+
+
+def let(value: Column, then) -> Column:
+    """``then`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+#: Elements that a running aggregate goes through at once, and code points of a piece of text: what is copied stays short.
+RUN, PIECE = 256, 64
+
+
+def running(values: Column, combine) -> Column:
+    """The inclusive running sum or maximum of whole numbers from 0 up: within stretches, and over the stretches' totals."""
+    zero = F.lit(0)
+    go = lambda part, start: F.aggregate(part, F.array(start), lambda out, x: F.concat(out, F.array(combine(F.element_at(out, -1), x))))
+    cut = lambda v: F.transform(F.sequence(zero, F.ceil(F.size(v) / RUN).cast("int") - 1), lambda b: F.slice(v, b * RUN + 1, F.lit(RUN)))
+    totals = lambda parts: F.transform(parts, lambda p: F.aggregate(p, zero, combine))
+    within = lambda parts: F.flatten(F.zip_with(parts, F.slice(go(totals(parts), zero), F.lit(1), F.size(parts)), lambda p, start: F.slice(go(p, start), F.lit(2), F.lit(RUN))))
+    return let(values, lambda v: F.when(F.size(v) > 0, let(cut(v), within)).otherwise(F.array().cast("array<int>")))
+
+
 def place(text: Column, matches: Column, pattern: Column, kind: str) -> Column:
-    """Spans of the matches of a pattern, from their lengths and those of the gaps between them."""
-    gaps = F.split(text, pattern, -1)
-    none = F.array().cast(SPAN)
-    start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+    """Spans of the matches of a pattern, from the lengths of the gaps between them and their own."""
+    lengths = F.flatten(F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches)), matches, lambda g, m: F.array(F.length(g), F.length(m))))
+    span = lambda at: lambda m, i: F.struct(F.lit(kind).alias("kind"), F.get(at, 2 * i).alias("begin"), F.get(at, 2 * i + 1).alias("end"), m.alias("value"))
+    spans = let(matches, lambda found: let(running(lengths, lambda a, b: a + b), lambda at: F.transform(found, span(at))))
+    return F.when(F.size(matches) > 0, spans).otherwise(F.array().cast(SPAN))
 
-    def step(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.length(pair["gap"])
-        end = begin + F.length(pair["match"])
-        span = F.struct(F.lit(kind).alias("kind"), begin.alias("begin"), end.alias("end"), pair["match"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-    pairs = F.zip_with(matches, F.slice(gaps, F.lit(1), F.size(matches)), lambda m, g: F.struct(g.alias("gap"), m.alias("match")))
-    return F.when(F.size(matches) > 0, F.aggregate(pairs, start, step, lambda s: s["spans"])).otherwise(none)
+def rebuilt(text: Column, spans: Column, put) -> Column:
+    """The text with each span replaced by ``put(span, covered)``; ``covered``: up to where earlier spans reach."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["begin"].alias("begin"), s["end"].alias("end"), s["kind"].alias("kind"), s["value"].alias("value"))))
+
+    def piece(pieces: Column, begin: Column, end: Column) -> Column:
+        first = F.floor(begin / PIECE).cast("int")
+        some = F.array_join(F.slice(pieces, first + 1, F.floor((end - 1) / PIECE).cast("int") - first + 1), "")
+        return F.when(end > begin, F.substring(some, begin % PIECE + 1, end - begin)).otherwise("")
+
+    def whole(own: Column, reach: Column, pieces: Column) -> Column:
+        part = lambda s, before: F.concat(piece(pieces, before, s["begin"]), put(s, before))
+        parts = F.transform(own, lambda s, i: part(s, F.when(i == 0, F.lit(0)).otherwise(F.get(reach, i - 1))))
+        return F.concat(F.array_join(parts, ""), piece(pieces, F.element_at(reach, -1), F.length(text)))
+
+    pieces = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+    out = let(ordered, lambda own: let(running(F.transform(own, lambda s: s["end"]), lambda a, b: F.greatest(a, b)), lambda reach: let(pieces, lambda cut: whole(own, reach, cut))))
+    return F.when(F.size(spans) > 0, out).otherwise(text)
+
+
+def masked(text: Column, spans: Column) -> Column:
+    """The text with NUL for each character of a span, so that everything stays where it is."""
+    return rebuilt(text, spans, lambda s, covered: F.repeat(F.lit("\0"), F.greatest(F.lit(0), s["end"] - F.greatest(s["begin"], covered))))
+
+
+def sanitised(text: Column, spans: Column) -> Column:
+    """The text with each span replaced: base kinds and generalised terms by their class, removed terms by nothing."""
+
+    def put(s: Column, covered: Column) -> Column:
+        word = F.when(s["value"].rlike(r"^\p{N}+$"), "[NUMBER]").when(s["value"].rlike(r"^\p{Lu}"), "[NAME]").otherwise("[WORD]")
+        own = F.when(s["kind"] == "term", "").when(s["kind"] == "general", word).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
+        return F.when(s["begin"] >= covered, own).otherwise("")
+
+    return rebuilt(text, spans, put)
 
 
 def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -147,58 +208,48 @@ def _terms_pattern(terms: Column) -> Column:
     return F.concat(F.lit(r"(?<![\p{L}\p{N}])(?iu:"), F.array_join(terms, "|"), F.lit(r")(?![\p{L}\p{N}])"))
 
 
-def find_private(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_support: int = 3, remove_at: float = 0.97, generalise_at: float = 0.85) -> DataFrame:
-    """``doc_id, found, terms`` for every row: base spans and disclosing terms as (kind, begin, end, value), code points.
+def find_private(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_support: int = 3, remove_at: float = 0.97, generalise_at: float = 0.85, returned=lambda text: text) -> DataFrame:
+    """``doc_id, found, terms, sanitised`` for every row: base spans and disclosing terms as (kind, begin, end, value), in
+    code points, and ``returned`` (by default all) of the text without them.
 
-    Null and empty texts have no spans.  Texts are searched whole.  Every word of every document that holds an entity
-    may be a term of it, however far from the entity; terms are looked for in all documents that hold the entity;
-    documents without personal data are left alone.  Entity and term must occur together in ``min_support`` documents:
-    an entity in fewer documents has its own spans but no terms.  With 1 as ``min_support`` each word that stands in one
-    document only has a ratio of 1 to each entity there and is removed.  Repeated rows count as documents of their own
-    and get the same spans.  An empty table gives no rows; other columns are not read, so their names can't clash.
+    Null and empty texts have no spans.  Texts are searched whole, in time proportional to their length and spans.  Every
+    word of every document that holds an entity may be a term of it, however far from the entity; terms are looked for in
+    all documents that hold the entity, outside of base spans; documents without personal data are left alone.  Entity
+    and term must occur together in ``min_support`` documents: an entity in fewer documents has its own spans, and what
+    it has in common with others may have terms.  With 1 as ``min_support`` each word that stands in one document only
+    has a ratio of 1 to each entity there and is removed.  Repeated rows count as documents of their own and get the same
+    spans.  An empty table gives no rows; other columns are not read, so their names can't clash.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("key", F.unhex(F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text"))))
-    entities = F.array_distinct(F.transform("found", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))
-    found = base_spans(rows).select("doc_id", "key", F.unhex(F.md5("text")).alias("body"), "found", entities.alias("entities"), "text")
-    found = keep(found.select("doc_id", "key", "body", "found", "entities", F.when(F.size("entities") > 0, _words(F.col("text"))).alias("words")), "found")
+    entities = F.array_distinct(F.flatten(F.transform("found", levels)))
+    some = F.size("found") > 0
+    found = base_spans(rows).select("doc_id", "key", F.unhex(F.md5("text")).alias("body"), "found", entities.alias("entities"), F.when(some, _words(F.col("text"))).alias("words"), returned(F.when(some, sanitised(F.col("text"), F.col("found"))).otherwise(F.col("text"))).alias("sanitised"))
+    found = keep(found, "found")
     risky = disclosing_terms(rows, found, "text", min_support, remove_at, generalise_at)
-    # Which terms to look for in which documents.
-    held = found.filter(F.size("entities") > 0).select("key", F.explode("entities").alias("entity")).distinct()
-    wanted = held.join(risky, "entity").groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("removed"))).alias("removed"), F.array_distinct(F.flatten(F.collect_list("generalised"))).alias("generalised"))
-    wanted = keep(wanted, "wanted")
+    # Which terms to look for in which documents; equal rows have one key.
+    held = found.filter(some).select("key", "found", "entities").dropDuplicates(["key"])
+    wanted = held.select("key", F.explode("entities").alias("entity")).join(risky, "entity").groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("removed"))).alias("removed"), F.array_distinct(F.flatten(F.collect_list("generalised"))).alias("generalised"))
+    wanted = keep(wanted.join(held.select("key", "found"), "key"), "wanted")
     few = wanted.count() <= SMALL_ROWS
-    hit = rows.join(F.broadcast(wanted) if few else wanted, "key").select("key", "text", "removed", F.array_except("generalised", "removed").alias("generalised")).dropDuplicates(["key"])
+    hit = rows.join(F.broadcast(wanted) if few else wanted, "key").select("key", "text", "found", "removed", F.array_except("generalised", "removed").alias("generalised")).dropDuplicates(["key"])
+    hit = hit.withColumn("masked", masked(F.col("text"), F.col("found")))
     spans = []
     for kind in ("removed", "generalised"):
         pattern = _terms_pattern(F.col(kind))
-        matches = F.when(F.size(kind) > 0, F.regexp_extract_all("text", pattern, F.lit(0))).otherwise(F.array().cast("array<string>"))
+        matches = F.when(F.size(kind) > 0, F.regexp_extract_all("masked", pattern, F.lit(0))).otherwise(F.array().cast("array<string>"))
         hit = hit.withColumn(f"_{kind}", matches)
-        spans.append(place(F.col("text"), F.col(f"_{kind}"), pattern, "term" if kind == "removed" else "general"))
-    hit = hit.select("key", F.concat(*spans).alias("terms"))
-    out = found.select("doc_id", "key", "found").join(hit, "key", "left")
-    outside = F.filter(F.coalesce("terms", F.array().cast(SPAN)), lambda t: ~F.exists("found", lambda s: (s["begin"] < t["end"]) & (t["begin"] < s["end"])))
-    return out.select("doc_id", "found", outside.alias("terms"))
-
-
-def sanitised(text: Column, spans: Column) -> Column:
-    """The text with each span replaced: base kinds and generalised terms by their class, removed terms by nothing."""
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["begin"].alias("begin"), s["end"].alias("end"), s["kind"].alias("kind"), s["value"].alias("value"))))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, s: Column) -> Column:
-        word = F.when(s["value"].rlike(r"^\p{N}+$"), "[NUMBER]").when(s["value"].rlike(r"^\p{Lu}"), "[NAME]").otherwise("[WORD]")
-        put = F.when(s["kind"] == "term", "").when(s["kind"] == "general", word).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        moved = F.struct(s["end"].alias("at"), F.concat(state["out"], F.substring(text, state["at"] + 1, s["begin"] - state["at"]), put).alias("out"))
-        return F.when(s["begin"] >= state["at"], moved).otherwise(state)
-
-    return F.aggregate(ordered, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+        spans.append(place(F.col("masked"), F.col(f"_{kind}"), pattern, "term" if kind == "removed" else "general"))
+    hit = hit.select("key", "text", "found", F.concat(*spans).alias("terms"))
+    hit = hit.select("key", "terms", returned(sanitised(F.col("text"), F.concat("found", "terms"))).alias("_less"))
+    out = found.select("doc_id", "key", "found", "sanitised").join(hit, "key", "left")
+    return out.select("doc_id", "found", F.coalesce("terms", F.array().cast(SPAN)).alias("terms"), F.coalesce("_less", "sanitised").alias("sanitised"))
 
 
 def op4_pii(spark, sf_dir: str) -> DataFrame:
-    found = find_private(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = find_private(spark.read.parquet(f"{sf_dir}/documents.parquet"), returned=lambda text: F.sha2(text, 256))
     show = lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"])
     count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
     rank = F.create_map(*[F.lit(x) for i, k in enumerate((*BASE, "term", "general")) for x in (k, i)])
     every = F.array_sort(F.transform(F.concat("found", "terms"), lambda s: F.struct(s["begin"].alias("begin"), rank[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in BASE], F.sha2(F.array_join(F.transform("found", show), ","), 256).alias("base_sha256"), F.array_join(F.transform(every, show), ",").alias("spans"))
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in BASE], F.sha2(F.array_join(F.transform("found", show), ","), 256).alias("base_sha256"), F.array_join(F.transform(every, show), ",").alias("spans"), F.col("sanitised").alias("sanitised_sha256"))

@@ -120,6 +120,43 @@ def test_disclosing_terms(spark):
     assert pii.find_private(docs.limit(0)).count() == 0
 
 
+def test_what_entities_have_in_common(spark):
+    """No address occurs twice, but their domain does, and a term tells it; repeated rows get the same spans."""
+    rows = [(i, f"Quorvex wrote to a{i}@rare.example and from 10.1.{i}.7") for i in range(8)] + [(100 + i, f"others wrote to b{i}@common{i}.example") for i in range(80)]
+    rows += [rows[0], rows[0], (None, "Quorvex b@rare.example")]
+    out = pii.find_private(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        text = dict(rows)[r["doc_id"]]
+        assert all(text[s["begin"] : s["end"]] == s["value"] for s in [*r["found"], *r["terms"]])
+        assert {s["value"] for s in r["terms"]} & {"Quorvex", "wrote", "others"} == ({"Quorvex"} if "Quorvex" in text else set())
+        assert "@" not in r["sanitised"] and "Quorvex" not in r["sanitised"] and not re.search(r"\d+\.\d+\.", r["sanitised"])
+
+
+def test_sanitised_like_slicing(spark):
+    """Against slices, with overlapping spans; a text of 20,000 spans takes seconds."""
+    import time
+
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(["a", "é", "日", " ", "7", "x@y.zz "], 200)) for _ in range(40)] + ["", "a"]
+    spans = [sorted({(int(b), int(b + n), "email" if k else "term", "x") for b, n, k in zip(rng.integers(0, 190, 12), rng.integers(1, 9, 12), rng.integers(0, 2, 12))}) if len(t) > 200 else [] for t in texts]
+    frame = spark.createDataFrame(list(zip(texts, spans)), "text string, spans array<struct<begin: int, end: int, kind: string, value: string>>")
+    for row in frame.select("text", "spans", pii.sanitised(F.col("text"), F.col("spans")).alias("out"), pii.masked(F.col("text"), F.col("spans")).alias("mask")).collect():
+        out, at = "", 0
+        for s in sorted(row["spans"], key=lambda s: (s["begin"], s["end"], s["kind"])):
+            if s["begin"] >= at:
+                out += row["text"][at : s["begin"]] + ("[EMAIL]" if s["kind"] == "email" else "")
+            at = max(at, s["end"])
+        hidden = {i for s in row["spans"] for i in range(s["begin"], s["end"])}
+        assert row["out"] == out + row["text"][at:] and row["mask"] == "".join("\0" if i in hidden else c for i, c in enumerate(row["text"]))
+    long = " and ".join(f"u{i}@mail{i}.example" for i in range(20_000))
+    docs = spark.createDataFrame([(1, long)], "doc_id long, text string").withColumn("sanitised", F.lit(1))
+    began = time.time()
+    (row,) = pii.find_private(docs).collect()
+    assert len(row["found"]) == 20_000 and row["sanitised"] == " and ".join(["[EMAIL]"] * 20_000)
+    assert time.time() - began < 90
+
+
 def test_disclosing_terms_anywhere_in_the_text(spark):
     """In 1000 documents, a term in just the 10 documents of an entity is near it in 3, and far from it in the others."""
     filler = " ".join(["the and of with"] * 100)
