@@ -10,6 +10,7 @@ stretches with a hit are cut into exact spans, byte by byte.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -272,10 +273,15 @@ class Scanner:
     needed: tuple[Automaton, ...]
 
 
+def loose(pattern: str) -> str:
+    """A pattern that may go on wherever ``pattern`` may, without the states that count repeats."""
+    return re.sub(r"\{[0-9]+,\}", "+", pattern)
+
+
 @lru_cache(4)
 def scanner(rules: tuple[Rule, ...] = BASE + MORE) -> Scanner:
     each = lambda of, **how: tuple(compile_rules([(of(r), r.any_case)], **how) for r in rules)
-    return Scanner(rules, compile_rules([(r.cue, r.any_case) for r in rules], anywhere=True), each(lambda r: r.pattern, anywhere=True), each(lambda r: r.pattern, anywhere=True, backward=True), each(lambda r: r.pattern, anywhere=False), each(lambda r: r.need, anywhere=False))
+    return Scanner(rules, compile_rules([(r.cue, r.any_case) for r in rules], anywhere=True), each(lambda r: loose(r.pattern), anywhere=True), each(lambda r: r.pattern, anywhere=True, backward=True), each(lambda r: r.pattern, anywhere=False), each(lambda r: r.need, anywhere=False))
 
 
 def states_of(buffer: np.ndarray, dfa: Automaton) -> np.ndarray:
