@@ -1,7 +1,7 @@
 """Materialised copies: raw column subsets and aggregates that answer the queries they cover.
 
 The caller names the base table and a query as dimensions and measures; whether a copy answers it is decided here, by
-its columns.  Only states that add up are stored: sums, counts, least and greatest values, and sketches for distinct counts.
+its columns.  Only states that add up are stored: sums, counts, least and greatest values.  Distinct counts use the base table.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..shared import keep
+from .tables import spread
 
 
 @dataclass
@@ -25,7 +26,7 @@ class RawCopy:
     def build(cls, rows: DataFrame, path: str, columns: list[str], partition: list[str] = (), sort: list[str] = ()) -> RawCopy:
         out = rows.select(*columns)
         if partition:
-            out = out.repartition(*partition)
+            out = spread(out, list(partition))
         if sort:
             out = out.sortWithinPartitions(*partition, *sort)
         out.write.mode("overwrite").partitionBy(*partition).parquet(path)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_PATCH = 1000
+#: Figures in the result tables of one report: pages of at most 500 rows.
+MAX_CELLS = 20_000
 
 
 def rows_for(rows: DataFrame, policy: Column) -> DataFrame:
@@ -60,14 +62,15 @@ class Governed:
 
 
 def search(assets: DataFrame, key: str, fields: list[str], words: str) -> DataFrame:
-    """Assets in whose fields each keyword begins some word; '*' finds all.  One posting for each asset and word."""
+    """Assets in whose fields each keyword begins some word; '*' finds all.  A test of each row alone, without a shuffle."""
     if words.strip() == "*":
         return assets.select(key)
     wanted = sorted({w.lower() for w in words.split()})
     text = F.lower(F.concat_ws(" ", *[F.col(f).cast("string") for f in fields]))
-    postings = assets.select(key, F.explode(F.array_distinct(F.split(text, r"[^\p{L}\p{N}]+"))).alias("word"))
-    hits = postings.select(key, F.explode(F.array(*[F.when(F.startswith("word", F.lit(w)), F.lit(w)) for w in wanted])).alias("hit")).filter("hit is not null")
-    return hits.groupBy(key).agg(F.count_distinct("hit").alias("n")).filter(F.col("n") == len(wanted)).select(key)
+    found = F.split(text, r"[^\p{L}\p{N}]+")
+    begins = lambda w: F.exists(found, lambda word: F.startswith(word, F.lit(w)))
+    every = reduce(Column.__and__, [F.contains(text, F.lit(w)) for w in wanted])  # cheap, and true of all hits
+    return assets.filter(every & reduce(Column.__and__, [begins(w) for w in wanted])).select(key).distinct()
 
 
 def browse(assets: DataFrame, path: str, under: str) -> DataFrame:
@@ -80,16 +83,16 @@ def browse(assets: DataFrame, path: str, under: str) -> DataFrame:
 def closure(edges: DataFrame, start: DataFrame, keep, most: int = 100) -> DataFrame:
     """``node, step``: everything reached from ``start`` over (src, dst), each node once, so that cycles end.
 
-    Each round joins only the nodes that are new and is kept in shared storage.
+    Each round joins only the nodes that are new and writes only these; the rounds are put together at the end.
     """
     edges = keep(edges.select("src", "dst").distinct())
-    seen = keep(start.select("node", F.lit(0).alias("step")).distinct())
+    rounds = [keep(start.select("node", F.lit(0).alias("step")).distinct())]
     for step in range(1, most + 1):
-        front = seen.filter(F.col("step") == step - 1).select(F.col("node").alias("src"))
+        front, seen = rounds[-1].select(F.col("node").alias("src")), reduce(DataFrame.union, rounds)
         new = keep(edges.join(front, "src").select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti").select("node", F.lit(step).alias("step")))
         if new.isEmpty():
             return seen
-        seen = keep(seen.union(new))
+        rounds.append(new)
     raise ValueError(f"more than {most} steps")
 
 
@@ -121,14 +124,16 @@ def verify_figures(claims: DataFrame, cells: DataFrame, tolerance: float = 0.005
     """``claim_id, status``: verified if a cell has the figure, derived if a sum, difference or ratio of two cells has.
 
     ``claims`` (claim_id, figure) and ``cells`` (cell, amount) are the figures of one report and its result tables.
-    Figures meet cells by rounded value, not pair by pair.
+    Figures meet cells by rounded value, not pair by pair.  Over ``MAX_CELLS`` cells are refused: they are no report's.
     """
+    if (n := cells.limit(MAX_CELLS + 1).count()) > MAX_CELLS:
+        raise ValueError(f"at least {n} cells, where a report has at most {MAX_CELLS}")
     near = lambda a, b: F.abs(a - b) <= tolerance
     grid = lambda c: F.floor(c / tolerance).cast("long")
     spread = claims.select("claim_id", "figure", F.explode(F.array(grid(F.col("figure")) - 1, grid(F.col("figure")), grid(F.col("figure")) + 1)).alias("g"))
     direct = spread.join(cells.select("amount", grid(F.col("amount")).alias("g")).distinct(), "g").filter(near(F.col("figure"), F.col("amount"))).select("claim_id").distinct()
     # For a claim f and a cell a, the partner is f - a (sum), a - f (difference) or a / f (ratio).
-    left = claims.join(direct, "claim_id", "left_anti").crossJoin(F.broadcast(cells.select("cell", "amount")))  # a report's result tables: pages of at most 500 rows
+    left = claims.join(direct, "claim_id", "left_anti").crossJoin(F.broadcast(cells.select("cell", "amount")))  # counted above
     partner = F.explode(F.array(F.col("figure") - F.col("amount"), F.col("amount") - F.col("figure"), F.try_divide("amount", "figure"))).alias("partner")
     tried = left.select("claim_id", "cell", partner).filter("partner is not null")
     tried = tried.select("claim_id", "cell", "partner", F.explode(F.array(grid(F.col("partner")) - 1, grid(F.col("partner")), grid(F.col("partner")) + 1)).alias("g"))

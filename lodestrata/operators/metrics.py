@@ -150,6 +150,14 @@ def to_date(rows: DataFrame, date: str, rule: str, at=None) -> DataFrame:
     return rows.filter(low & (day <= end))
 
 
+def to_dates(rows: DataFrame, date: str, at: str, values: dict[str, Column]) -> DataFrame:
+    """``rule`` and the sum of each value up to the date under every rule, from one pass over the rows."""
+    day, end = F.col(date).cast("date"), F.lit(at).cast("date")
+    since = lambda rule: F.lit(True) if TO_DATE[rule] is None else day >= F.date_trunc(TO_DATE[rule], end).cast("date")
+    sums = [F.struct(F.lit(rule).alias("rule"), *[F.sum(F.when(since(rule), v)).alias(n) for n, v in values.items()]) for rule in TO_DATE]
+    return rows.filter(day <= end).agg(F.array(*sums).alias("_r")).select(F.explode("_r").alias("_r")).select("_r.*")
+
+
 def growth(rows: DataFrame, date: str, value: str, partition_by: list[str]) -> DataFrame:
     """Growth against the previous snapshot of the same partition; null without one or if it is zero."""
     before = F.lag(value).over(Window.partitionBy(*partition_by).orderBy(date))

@@ -1,22 +1,31 @@
 """Versioned tables as keyed change logs in Parquet.
 
-A write adds a folder of changed rows, marked I, U or D, and then a commit file; a folder without a commit is never read.
-A version of the table is the latest row of each key up to it, deleted keys left out.  Where a catalog has tables with
-UPDATE, MERGE and time travel of its own, these are the native statements.
+A write adds a folder of its own with changed rows, marked I, U or D, and then creates the commit file of the next version,
+which fails if another writer was first; the write then starts again from the new version.  A folder without a commit is
+never read.  A version of the table is its last base, without the keys changed since, and the latest change of each of
+these.  Where a catalog has tables with UPDATE, MERGE and time travel of its own, these are the native statements.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructType
-
-from ..shared import new_path
-
-COMMIT = "version int, committed_at timestamp_ntz, operation string, n_rows long, n_inserted long, n_updated long, n_deleted long, base boolean"
+from pyspark.sql.types import StringType, StructType
+
+from ..shared import keep, new_path
+
+#: ``base_of``: the version whose whole content the folder holds.
+COMMIT = "version int, committed_at timestamp_ntz, operation string, n_rows long, n_inserted long, n_updated long, n_deleted long, base_of int, folder string"
+#: Times that a write starts again because another one was first.
+ATTEMPTS = 20
+#: Changes of so many rows at most (some 20 MB of keys) may be broadcast; commits say how many there are.
+SMALL_ROWS = 400_000
+#: Rows of a file when a table is rewritten by a column of few values.
+ROWS_A_FILE = 2_000_000
 WIDER = {"tinyint": {"smallint", "int", "bigint"}, "smallint": {"int", "bigint"}, "int": {"bigint", "double"}, "float": {"double"}, "date": {"timestamp_ntz"}}
 
 
@@ -29,7 +38,7 @@ class ChangeLog:
     @classmethod
     def create(cls, rows: DataFrame, key: list[str], at: str, path: str | None = None) -> ChangeLog:
         log = cls(rows.sparkSession, path or new_path(rows.sparkSession, "log"), key, rows.schema)
-        log._commit(rows.withColumn("_op", F.lit("I")), "CREATE", at)
+        log._commit(lambda version: (rows.withColumn("_op", F.lit("I")), version + 1), "CREATE", at)
         return log
 
     # Reading
@@ -38,31 +47,44 @@ class ChangeLog:
         return self.spark.read.schema(COMMIT).json(f"{self.path}/commits")
 
     def _versions(self) -> list:
+        """The commits, one row each, by version."""
         try:
-            return sorted(self.commits().select("version", "committed_at", "base").collect())
+            return sorted(self.commits().select("version", "committed_at", "base_of", "n_rows", "folder").collect())
         except Exception as e:  # nothing has been committed yet
             if "PATH_NOT_FOUND" in str(e):
                 return []
             raise
 
-    def _changes(self, upto: int) -> DataFrame:
-        known = [v for v in self._versions() if v["version"] <= upto]
-        if not known:
-            raise ValueError(f"no version {upto}")
-        base = max([v["version"] for v in known if v["base"]], default=known[0]["version"])
-        paths = [f"{self.path}/rows/_version={v['version']}" for v in known if v["version"] >= base]
-        schema = StructType.fromJson(self.schema.jsonValue()).add("_op", StringType()).add("_version", IntegerType())
-        return self.spark.read.schema(schema).option("basePath", f"{self.path}/rows").parquet(*paths)
+    def _rows(self, commits: list) -> DataFrame:
+        """The rows of some commits with their version."""
+        schema = StructType.fromJson(self.schema.jsonValue()).add("_op", StringType()).add("_folder", StringType())
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/rows").parquet(*[f"{self.path}/rows/_folder={c['folder']}" for c in commits])
+        number = F.create_map(*[F.lit(x) for c in commits for x in (c["folder"], c["version"])])
+        return rows.withColumn("_version", number[F.col("_folder")]).drop("_folder")
 
     def version(self) -> int:
         return max((v["version"] for v in self._versions()), default=0)
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table at a version, by default the last one."""
-        rows = self._changes(self.version() if version is None else version)
-        others = [c for c in self.schema.names if c not in self.key]
-        last = rows.groupBy(*self.key).agg(F.max_by(F.struct("_op", *others), "_version").alias("_r"))
-        return last.filter("_r._op <> 'D'").select(*[F.col(c) if c in self.key else F.col(f"_r.{c}").alias(c) for c in self.schema.names])
+        known = self._versions()
+        version = max((v["version"] for v in known), default=0) if version is None else version
+        bases = [v for v in known if v["base_of"] is not None and v["base_of"] <= version]
+        if not bases or version not in {v["version"] for v in known}:
+            raise ValueError(f"no version {version}, or it has expired")
+        base = max(bases, key=lambda v: (v["base_of"], v["version"]))
+        changes = [v for v in known if base["base_of"] < v["version"] <= version and v["base_of"] is None and v["n_rows"]]
+        rows = self._rows([base]).select(*self.schema.names)
+        if not changes:
+            return rows
+        last = self._rows(changes)
+        if len(changes) > 1:  # a commit changes a key once
+            others = [c for c in self.schema.names if c not in self.key]
+            last = last.groupBy(*self.key).agg(F.max_by(F.struct("_op", *others), "_version").alias("_r"))
+            last = last.select(*[F.col(c) if c in self.key else F.col(f"_r.{c}").alias(c) for c in self.schema.names], F.col("_r._op").alias("_op"))
+        few = sum(v["n_rows"] for v in changes) <= SMALL_ROWS
+        changed = last.select(*self.key)
+        return rows.join(F.broadcast(changed) if few else changed, self.key, "left_anti").select(*self.schema.names).union(last.filter("_op <> 'D'").select(*self.schema.names))
 
     def read_at(self, at: str) -> DataFrame:
         """The table as it was at a time."""
@@ -79,25 +101,55 @@ class ChangeLog:
 
     # Writing
 
-    def _commit(self, changes: DataFrame, operation: str, at: str, base: bool = False) -> int:
-        version = self.version() + 1
-        folder = f"{self.path}/rows/_version={version}"
-        changes.select(*self.schema.names, "_op").write.mode("overwrite").parquet(folder)
-        n = self.spark.read.parquet(folder).groupBy().agg(*[F.count_if(F.col("_op") == o).alias(o) for o in "IUD"]).first()
-        row = (version, _time(at), operation, n["I"] + n["U"] + n["D"], n["I"], n["U"], n["D"], base)
-        self.spark.createDataFrame([row], COMMIT).coalesce(1).write.mode("append").json(f"{self.path}/commits")
-        return version
+    def _commit(self, make, operation: str, at: str, deleted: int | None = None) -> int:
+        """Write what ``make(version)`` gives, the changes and which version's whole content they are, as the next version."""
+        for _ in range(ATTEMPTS):
+            before = self.version()
+            changes, base_of = make(before)
+            folder = uuid.uuid4().hex
+            path = f"{self.path}/rows/_folder={folder}"
+            changes.select(*self.schema.names, "_op").write.parquet(path)
+            n = self.spark.read.schema("_op string").parquet(path).groupBy().agg(*[F.count_if(F.col("_op") == o).alias(o) for o in "IUD"]).first()
+            counts = [n["I"], n["U"], n["D"] if deleted is None else deleted]
+            names = [c.split()[0] for c in COMMIT.split(", ")]
+            row = dict(zip(names, (before + 1, str(_time(at)), operation, n["I"] + n["U"] + n["D"], *counts, base_of, folder), strict=True))
+            if self._create(f"{self.path}/commits/{before + 1:09d}.json", json.dumps(row)):
+                return before + 1
+            self._delete(path)
+        raise RuntimeError(f"{ATTEMPTS} other writers were first")
+
+    def _file_system(self, path: str):
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at, at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _create(self, path: str, text: str) -> bool:
+        """Create a file; False if it is there already."""
+        at, system = self._file_system(path)
+        try:
+            out = system.create(at, False)
+        except Exception:
+            if system.exists(at):
+                return False
+            raise
+        out.write(bytearray(text.encode()))
+        out.close()
+        return True
+
+    def _delete(self, path: str) -> None:
+        at, system = self._file_system(path)
+        system.delete(at, True)
 
     def update(self, where: Column, changes: dict[str, Column], at: str) -> int:
-        rows = self.read().filter(where)
-        changed = rows.select(*[changes[c].cast(self.schema[c].dataType).alias(c) if c in changes else F.col(c) for c in self.schema.names])
-        return self._commit(changed.withColumn("_op", F.lit("U")), "UPDATE", at)
+        new = [changes[c].cast(self.schema[c].dataType).alias(c) if c in changes else F.col(c) for c in self.schema.names]
+        return self._commit(lambda version: (self.read(version).filter(where).select(*new).withColumn("_op", F.lit("U")), None), "UPDATE", at)
 
     def delete(self, where: Column, at: str) -> int:
-        return self._commit(self.read().filter(where).withColumn("_op", F.lit("D")), "DELETE", at)
+        return self._commit(lambda version: (self.read(version).filter(where).withColumn("_op", F.lit("D")), None), "DELETE", at)
 
     def truncate(self, at: str) -> int:
-        return self._commit(self.read().withColumn("_op", F.lit("D")), "TRUNCATE", at)
+        """An empty base; no row is written."""
+        none = self.spark.createDataFrame([], self.schema).withColumn("_op", F.lit("D"))
+        return self._commit(lambda version: (none, version + 1), "TRUNCATE", at, deleted=self.read().count())
 
     def merge(self, source: DataFrame, at: str, matched: dict[str, Column] | None = None, delete_when: Column | None = None) -> int:
         """Update rows whose key is in ``source`` and insert the others; two source rows of one key are refused.
@@ -110,8 +162,6 @@ class ChangeLog:
             raise ValueError(f"the source has several rows of {twice[0].asDict()}")
         have = [c for c in source.columns if c in self.schema.names]
         right = source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns])
-        left = self.read().withColumn("_here", F.lit(True))
-        joined = right.join(left, reduce(Column.__and__, [left[k] == right[f"s_{k}"] for k in self.key]), "left")
         here = F.col("_here").isNotNull()
 
         def value(c: str) -> Column:
@@ -122,22 +172,46 @@ class ChangeLog:
         op = F.when(here, F.lit("U")).otherwise(F.lit("I"))
         if delete_when is not None:
             op = F.when(delete_when, F.lit("D")).otherwise(op)
-        changes = joined.select(*[value(c) for c in self.schema.names], op.alias("_op"), here.alias("_h")).filter("_op <> 'D' or _h")
-        return self._commit(changes, "MERGE", at)
+
+        def make(version: int) -> tuple[DataFrame, None]:
+            left = self.read(version).withColumn("_here", F.lit(True))
+            joined = right.join(left, reduce(Column.__and__, [left[k] == right[f"s_{k}"] for k in self.key]), "left")
+            return joined.select(*[value(c) for c in self.schema.names], op.alias("_op"), here.alias("_h")).filter("_op <> 'D' or _h"), None
+
+        return self._commit(make, "MERGE", at)
 
     def rollback(self, version: int, at: str) -> int:
         """Append the changes that bring a former version back."""
-        now, then = self.read(), self.read(version)
-        gone = now.join(then, self.key, "left_anti").withColumn("_op", F.lit("D"))
         others = [c for c in self.schema.names if c not in self.key]
-        old = now.select(*self.key, F.struct(*others).alias("_now"))
-        back = then.join(old, self.key, "left").filter(F.col("_now").isNull() | ~F.col("_now").eqNullSafe(F.struct(*others)))
-        back = back.select(*self.schema.names, F.when(F.col("_now").isNull(), "I").otherwise("U").alias("_op"))
-        return self._commit(back.unionByName(gone), "ROLLBACK", at)
+
+        def make(last: int) -> tuple[DataFrame, None]:
+            now, then = self.read(last), self.read(version)
+            gone = now.join(then, self.key, "left_anti").withColumn("_op", F.lit("D"))
+            old = now.select(*self.key, F.struct(*others).alias("_now"))
+            back = then.join(old, self.key, "left").filter(F.col("_now").isNull() | ~F.col("_now").eqNullSafe(F.struct(*others)))
+            back = back.select(*self.schema.names, F.when(F.col("_now").isNull(), "I").otherwise("U").alias("_op"))
+            return back.unionByName(gone), None
+
+        return self._commit(make, "ROLLBACK", at)
 
     def expire(self, version: int, at: str) -> int:
-        """Write the present table as a new base and read nothing older from then on."""
-        return self._commit(self.read(version).withColumn("_op", F.lit("I")), "EXPIRE", at, base=True)
+        """Forget the versions before ``version``: its content becomes a base, and what only older ones need is deleted.
+
+        Later versions stay as they are.  The commit is a version of its own with the content of the one before it.
+        """
+        number = self._commit(lambda last: (self.read(version).withColumn("_op", F.lit("I")), version), "EXPIRE", at)
+        for old in self._versions():
+            if old["version"] <= version and (old["base_of"] is None or old["base_of"] <= version):
+                self._delete(f"{self.path}/rows/_folder={old['folder']}")
+                if old["version"] < version:
+                    self._delete(f"{self.path}/commits/{old['version']:09d}.json")
+        return number
+
+    def expire_older(self, older_than: str, at: str, retain_last: int = 1) -> int | None:
+        """Expire the versions committed before a time, but for the last ``retain_last``; None if there are none."""
+        known = self._versions()
+        old = [v["version"] for v in known[: max(0, len(known) - retain_last)] if v["committed_at"] < _time(older_than)]
+        return self.expire(known[[v["version"] for v in known].index(max(old)) + 1]["version"], at) if old else None
 
 
 def _time(at: str):
@@ -218,11 +292,31 @@ def compact(spark: SparkSession, path: str, to: str, target_bytes: int, min_file
     return plan.drop("n_small")
 
 
+def spread(rows: DataFrame, columns: list[str], rows_a_file: int | None = None) -> DataFrame:
+    """Rows dealt by ``columns`` for writing, a value with many rows to as many tasks as it fills files."""
+    most = rows_a_file or ROWS_A_FILE
+    large = keep(rows.groupBy(*columns).agg(F.count("*").alias("_n")).filter(F.col("_n") > most), "large")
+    n = large.count()
+    if not n:
+        return rows.repartition(*columns)
+    known = large.select(*columns, F.ceil(F.col("_n") / most).cast("int").alias("_parts"))
+    dealt = rows.join(F.broadcast(known) if n <= SMALL_ROWS else known, columns, "left").withColumn("_salt", F.when(F.col("_parts") > 1, F.pmod(F.xxhash64(*rows.columns), "_parts")))
+    return dealt.repartition(*columns, "_salt").select(*rows.columns)
+
+
 def orphans(spark: SparkSession, log: ChangeLog, older_than: str) -> DataFrame:
-    """Files of a log that no commit refers to and that are older than the time given; nothing is deleted."""
-    committed = log.commits().select(F.col("version"))
-    found = files(spark, f"{log.path}/rows").withColumn("version", F.regexp_extract("folder", "_version=([0-9]+)", 1).cast("int"))
-    return found.filter(F.col("modified") < F.lit(older_than).cast("timestamp")).join(committed, "version", "left_anti").select("version", "file", "bytes")
+    """``folder, file, bytes``: files of a log that no commit refers to and that are older than the time given."""
+    found = files(spark, f"{log.path}/rows").withColumn("own", F.regexp_extract("folder", "_folder=([^/]*)", 1))
+    old = found.filter(F.col("modified") < F.lit(older_than).cast("timestamp"))
+    return old.join(log.commits().select(F.col("folder").alias("own")), "own", "left_anti").select("folder", "file", "bytes")
+
+
+def remove_orphans(spark: SparkSession, log: ChangeLog, older_than: str) -> int:
+    """Delete the folders of orphans, one for each write that failed; how many there were."""
+    gone = [r["folder"] for r in orphans(spark, log, older_than).select("folder").distinct().collect()]
+    for folder in gone:
+        log._delete(folder)
+    return len(gone)
 
 
 def unique_name(prefix: str) -> str:

@@ -113,8 +113,12 @@ def audited(rows: DataFrame, source: str, ts: str, loaded: Column, operation: Co
 
 
 def dimension(rows: DataFrame, key: str, business: list[str], attributes: list[str]) -> DataFrame:
-    """A surrogate key by hash, stable over reloads, with business key and attributes and an unknown member."""
-    dim = rows.select(hash_key(*business).alias(key), *business, *attributes).dropDuplicates([key])
+    """A surrogate key by hash, stable over reloads, with business key and attributes and an unknown member.
+
+    Of several rows of a key the one with the greatest attributes, in their order, is taken.
+    """
+    one = rows.select(hash_key(*business).alias(key), F.struct(*business, *attributes).alias("_r"))
+    dim = one.groupBy(key).agg(F.max_by("_r", F.struct(*[F.col(f"_r.{c}") for c in [*attributes, *business]])).alias("_r")).select(key, "_r.*")
     unknown = rows.sparkSession.range(1).select(F.lit("0" * 64).alias(key), *[F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in [*business, *attributes]])
     return dim.union(unknown)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import tables as T
-from ..shared import keep, new_path
+from ..shared import new_path
 from ..sources import ingest as I
 from ..streaming import flows as Z
 from . import model as M
@@ -208,21 +208,11 @@ def i_run_stats(s, d):
 
 @query("i_flow_declarative", "select event_type, count(*) as n, count(distinct user_id) as users from events where value >= 5 group by event_type")
 def i_flow_declarative(s, d):
-    """Datasets as plain functions of the ones they read; each is kept once and read by those after it."""
-    datasets = {
-        "bronze": ((), lambda: table(s, d, "events")),
-        "silver": (("bronze",), lambda bronze: bronze.filter("value >= 5").select("event_type", "user_id")),
-        "gold": (("silver",), lambda silver: silver.groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"))),
-    }
-    done = {}
-
-    def build(name):
-        if name not in done:
-            needs, make = datasets[name]
-            done[name] = keep(make(*[build(n) for n in needs]), name)
-        return done[name]
-
-    return build("gold")
+    """A flow declared in SQL: a view, a table that is built from it, and an aggregate of that table."""
+    bronze, silver = T.unique_name("bronze"), T.unique_name("silver")
+    table(s, d, "events").createOrReplaceTempView(bronze)
+    s.sql(f"CREATE TABLE {silver} USING parquet AS SELECT event_type, user_id FROM {bronze} WHERE value >= 5")
+    return s.sql(f"SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM {silver} GROUP BY event_type")
 
 
 @query("i_backfill", "select o_orderkey, cast(o_orderdate as date) as day from orders where o_orderdate >= timestamp '1997-01-01' and o_orderdate < timestamp '1997-03-01'")

@@ -72,11 +72,7 @@ TO_DATE_SQL = " union all ".join(
 
 @query("m_to_date", TO_DATE_SQL)
 def m_to_date(s, d):
-    rows, out = table(s, d, "orders"), None
-    for rule in X.TO_DATE:
-        part = X.to_date(rows, "o_orderdate", rule, "1998-05-20").agg(F.lit(rule).alias("rule"), F.count("*").alias("n"), F.sum(F.col("o_totalprice").cast(M.D)).cast("decimal(28,2)").alias("value"))
-        out = part if out is None else out.union(part)
-    return out
+    return X.to_dates(table(s, d, "orders"), "o_orderdate", "1998-05-20", {"n": F.lit(1).cast("long"), "value": F.col("o_totalprice").cast(M.D)}).withColumn("value", F.col("value").cast("decimal(28,2)"))
 
 
 @query("m_growth", f"""with m as (select o_orderpriority, cast(date_trunc('month', o_orderdate) as date) as month, cast({V} as decimal(28,2)) as value from orders group by all),

@@ -68,10 +68,10 @@ def dq_history(s, d):
 
 
 PROFILE = " union all ".join(
-    f"select '{c}' as \"column\", count(*) as n_rows, count(*) - count({c}) as n_nulls, count(distinct {c}) as n_distinct, cast(min({c}) as varchar) as low, cast(max({c}) as varchar) as high, count(distinct {c}) = count(*) as is_key from nation"
-    for c in ("n_nationkey", "n_name", "n_regionkey")
+    f"select '{c}' as \"column\", count(*) as n_rows, count(*) - count({c}) as n_nulls, count(distinct {c}) as n_distinct, cast(min({c}) as varchar) as low, cast(max({c}) as varchar) as high, count(distinct {c}) = count(*) as is_key from customer"
+    for c in ("c_custkey", "c_name", "c_nationkey")
 )
-query("dq_key_profile", PROFILE)(lambda s, d: Q.profile(table(s, d, "nation")))
+query("dq_key_profile", PROFILE)(lambda s, d: Q.profile(table(s, d, "customer").select("c_custkey", "c_name", "c_nationkey")))
 
 
 @query("dq_join_profile", """with a as (select o_orderkey as k, count(*) as a from orders where o_orderkey % 3 <> 0 group by 1), b as (select l_orderkey as k, count(*) as b from lineitem group by 1),

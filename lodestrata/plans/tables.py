@@ -79,11 +79,16 @@ def t_rollback(s, d):
     return log.read()
 
 
-@query("t_expire", f"select * from {UPDATED} where o_totalprice >= 100000")
+@query("t_expire", f"select 2 as version, * from {UPDATED} union all select 3, * from {UPDATED} where o_totalprice >= 100000 union all select 4, * from {UPDATED} where o_totalprice >= 100000")
 def t_expire(s, d):
+    """The first version goes; the second and those after it read as before."""
     log = deleted(s, d)
-    log.expire(3, AT[3])
-    return log.read()
+    log.expire(2, AT[3])
+    try:
+        log.read(1)
+    except ValueError:
+        return log.read(2).select(F.lit(2).alias("version"), "*").union(log.read(3).select(F.lit(3), "*")).union(log.read().select(F.lit(4), "*"))
+    raise AssertionError("an expired version can be read")
 
 
 query("t_add_column", f"select *, cast(null as varchar) as note from {B}")(lambda s, d: T.add_columns(base_orders(s, d), "note string"))
@@ -98,8 +103,8 @@ def t_partition_evolve(s, d):
     """A table by return flag is rewritten by year of shipping."""
     old, new = new_path(s, "by_flag"), new_path(s, "by_year")
     rows = table(s, d, "lineitem").select("l_orderkey", "l_shipdate", "l_returnflag")
-    rows.repartition("l_returnflag").write.partitionBy("l_returnflag").parquet(old)
-    s.read.parquet(old).withColumn("year", T.partition_transform("l_shipdate", "year")).repartition("year").write.partitionBy("year").parquet(new)
+    T.spread(rows, ["l_returnflag"]).write.partitionBy("l_returnflag").parquet(old)
+    s.read.parquet(old).withColumn("year", T.partition_transform("l_shipdate", "year")).transform(T.spread, ["year"]).write.partitionBy("year").parquet(new)
     return s.read.schema("l_orderkey long, l_shipdate timestamp_ntz, l_returnflag string, year string").parquet(new).groupBy("l_returnflag", "year").agg(F.count("*").alias("n"))
 
 
@@ -113,12 +118,14 @@ def t_compact(s, d):
     return s.read.parquet(new).groupBy("l_returnflag").agg(F.count("*").alias("n")).join(fewer, "l_returnflag")
 
 
-@query("t_orphans")
+@query("t_orphans", f"select count(*) as n_rows, 1 as n_removed, cast(0 as bigint) as n_left from {B}")
 def t_orphans(s, d):
-    """Files of a write that was never committed."""
+    """The folder of a write that was never committed is found and deleted; the table stays."""
     log = orders_log(s, d)
-    base_orders(s, d).withColumn("_op", F.lit("I")).write.parquet(f"{log.path}/rows/_version=9")
-    return T.orphans(s, log, "2100-01-01")
+    base_orders(s, d).withColumn("_op", F.lit("I")).write.parquet(f"{log.path}/rows/_folder=torn")
+    removed = T.remove_orphans(s, log, "2100-01-01")
+    left = T.orphans(s, log, "2100-01-01").count()
+    return log.read().agg(F.count("*").alias("n_rows"), F.lit(removed).alias("n_removed"), F.lit(left).cast("long").alias("n_left"))
 
 
 @query("t_analyze", "select 'orders' as name, count(*) as n_rows from orders")
@@ -130,19 +137,45 @@ def t_analyze(s, d):
     return s.range(1).select(F.lit("orders").alias("name"), F.regexp_extract(F.lit(text), "([0-9]+) rows", 1).cast("bigint").alias("n_rows"))
 
 
-@query("t_discover", "select 'o_orderkey' as col_name, 'bigint' as data_type union all select 'o_orderstatus', 'string'")
+@query("t_discover", """select 'o_orderkey' as col_name, 'bigint' as data_type, count(o_orderkey) as n, cast(max(o_orderkey) as varchar) as high from orders
+  union all select 'o_orderstatus', 'string', count(o_orderstatus), max(o_orderstatus) from orders""")
 def t_discover(s, d):
+    """The columns of a view by the catalog, with what the data have in them."""
     view = T.unique_name("seen")
-    table(s, d, "orders").select("o_orderkey", "o_orderstatus").createOrReplaceTempView(view)
-    shown = s.sql("SHOW VIEWS").filter(F.col("viewName") == view)
-    return s.sql(f"DESCRIBE {view}").select("col_name", "data_type").join(F.broadcast(shown.select("viewName")), F.lit(True), "left_semi")
+    rows = table(s, d, "orders").select("o_orderkey", "o_orderstatus")
+    rows.createOrReplaceTempView(view)
+    known = s.sql(f"DESCRIBE {view}").select("col_name", "data_type")
+    one = rows.agg(F.array(*[F.struct(F.lit(c).alias("col_name"), F.count(c).alias("n"), F.max(c).cast("string").alias("high")) for c in rows.columns]).alias("c"))
+    return known.join(one.select(F.explode("c").alias("c")).select("c.*"), "col_name")
 
 
-@query("t_explain", "select true as pushed, true as pruned")
+@query("t_explain", "select true as pushed, true as pruned, count(*) as n from orders where o_totalprice > 1000")
 def t_explain(s, d):
-    table(s, d, "orders").createOrReplaceTempView("t_explain_orders")
-    plan = s.sql("EXPLAIN FORMATTED SELECT o_orderkey FROM t_explain_orders WHERE o_totalprice > 1000").first()[0]
-    return s.range(1).select(F.lit("GreaterThan(o_totalprice" in plan).alias("pushed"), F.lit("o_custkey" not in plan.split("ReadSchema")[1]).alias("pruned"))
+    """A query's plan, and the rows it has."""
+    view = T.unique_name("explained")
+    table(s, d, "orders").createOrReplaceTempView(view)
+    text = f"SELECT o_orderkey FROM {view} WHERE o_totalprice > 1000"
+    plan = s.sql(f"EXPLAIN FORMATTED {text}").first()[0]
+    return s.sql(text).agg(F.lit("GreaterThan(o_totalprice" in plan).alias("pushed"), F.lit("o_custkey" not in plan.split("ReadSchema")[1]).alias("pruned"), F.count("*").alias("n"))
+
+
+@query("t_merge_branches", f"select * from {DELTA} where o_orderkey > 10000000 union all select o_orderkey, o_custkey, case when o_orderkey % 10 = 0 then 'X' else o_orderstatus end, o_totalprice from {B} where o_orderkey % 20 <> 0")
+def t_merge_branches(s, d):
+    """Matched rows are deleted, or updated in one column; the others are inserted."""
+    log = orders_log(s, d)
+    log.merge(delta(s, d), AT[1], matched={"o_orderstatus": F.col("s_o_orderstatus")}, delete_when=(F.col("s_o_orderkey") % 20 == 0) & F.col("_here").isNotNull())
+    return log.read()
+
+
+@query("t_drop_table", "select 'dropped' as name, count(*) as n from orders")
+def t_drop_table(s, d):
+    """Of two tables one is dropped; the other still shows and has its rows."""
+    kept, gone = T.unique_name("kept"), T.unique_name("gone")
+    for name in (kept, gone):
+        table(s, d, "orders").select("o_orderkey").write.format("parquet").saveAsTable(name)
+    s.sql(f"DROP TABLE {gone}")
+    shown = [r["tableName"] for r in s.sql("SHOW TABLES").filter(F.col("tableName").isin(kept, gone)).collect()]
+    return s.table(kept).agg(F.lit("dropped" if shown == [kept] else "not dropped").alias("name"), F.count("*").alias("n"))
 
 
 # Sinks
@@ -182,7 +215,7 @@ def sink_partition_transform(s, d):
     rows, out = table(s, d, "lineitem"), None
     for name, column in (("month", T.partition_transform("l_shipdate", "month")), ("truncate", T.partition_transform("l_orderkey", "truncate", 1000).cast("string"))):
         path = new_path(s, "transformed")
-        rows.select("l_orderkey", column.alias("part")).repartition("part").write.partitionBy("part").parquet(path)
+        rows.select("l_orderkey", column.alias("part")).transform(T.spread, ["part"]).write.partitionBy("part").parquet(path)
         part = s.read.schema("l_orderkey long, part string").parquet(path).groupBy("part").agg(F.count("*").alias("n")).select(F.lit(name).alias("transform"), "part", "n")
         out = part if out is None else out.union(part)
     return out

@@ -40,6 +40,61 @@ def test_versions_and_rollback(spark, log):
         log.read_at("2020-01-01 00:00:00")
 
 
+def test_expiring_an_older_version_loses_nothing(spark, log):
+    log.update(F.col("k") == 1, {"v": F.lit("z")}, DAY[1])
+    log.delete(F.col("k") == 2, DAY[2])
+    want = {v: rows_of(log.read(v)) for v in (2, 3)}
+    log.expire(2, DAY[3])
+    assert rows_of(log.read()) == want[3] and all(rows_of(log.read(v)) == want[v] for v in want)
+    with pytest.raises(ValueError, match="expired"):
+        log.read(1)
+    assert T.orphans(spark, log, "2100-01-01").count() == 0
+    log.merge(spark.createDataFrame([(5, "e")], "k int, v string"), DAY[4])
+    log.truncate(DAY[5])
+    assert log.read().count() == 0 and rows_of(log.read(5)) == sorted([*want[3], (5, "e")], key=str)
+    assert log.expire_older(DAY[5], DAY[6], retain_last=2) is not None and log.read().count() == 0 and rows_of(log.read(5)) == sorted([*want[3], (5, "e")], key=str)
+    with pytest.raises(ValueError):
+        log.read(3)
+
+
+def test_racing_writers_lose_no_update(spark, log):
+    """A second writer commits while the first one is writing; the first starts again from what it finds."""
+    other, seen = T.ChangeLog(spark, log.path, log.key, log.schema), []
+    read = log.read
+
+    def late(version=None):
+        rows = read(version)
+        if not seen:
+            seen.append(1)
+            other.update(F.col("k") == 1, {"v": F.lit("other")}, DAY[1])
+        return rows
+
+    log.read = late
+    log.update(F.col("k") > 0, {"v": F.concat(F.coalesce("v", F.lit("")), F.lit("!"))}, DAY[2])
+    assert rows_of(read()) == [(1, "other!"), (2, "b!"), (3, "!")]
+    assert [r["version"] for r in other.history().collect()] == [1, 2, 3]
+
+
+def test_files_of_one_second_are_all_read(spark):
+    path, seen, mark = new_path(spark, "files"), [], None
+    for i in range(4):
+        spark.range(i * 10, i * 10 + 3).coalesce(1).write.mode("append").parquet(path)
+        rows, mark = R.read_modified_after(spark, path, mark)
+        seen += [r["id"] for r in rows.collect()]
+    assert sorted(seen) == [i * 10 + j for i in range(4) for j in range(3)] and R.read_modified_after(spark, path, mark)[0] is None
+
+
+def test_values_with_many_rows_fill_several_files(spark):
+    rows = spark.range(1000).withColumn("flag", F.when(F.col("id") < 900, "A").otherwise("B"))
+    dealt = T.spread(rows, ["flag"], rows_a_file=100)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would go to one task
+    try:
+        assert dealt.select("flag", F.spark_partition_id().alias("p")).filter("flag = 'A'").select("p").distinct().count() > 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert dealt.count() == 1000 and dealt.columns == rows.columns
+
+
 def test_merge_refuses_repeated_keys(spark, log):
     with pytest.raises(ValueError, match="several rows"):
         log.merge(spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string"), DAY[1])
