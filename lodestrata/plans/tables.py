@@ -159,7 +159,7 @@ def t_explain(s, d):
     return s.sql(text).agg(F.lit("GreaterThan(o_totalprice" in plan).alias("pushed"), F.lit("o_custkey" not in plan.split("ReadSchema")[1]).alias("pruned"), F.count("*").alias("n"))
 
 
-@query("t_merge_branches", f"select * from {DELTA} where o_orderkey > 10000000 union all select o_orderkey, o_custkey, case when o_orderkey % 10 = 0 then 'X' else o_orderstatus end, o_totalprice from {B} where o_orderkey % 20 <> 0")
+@query("t_merge_branches", f"select * from {DELTA} where o_orderkey >= 10000000 union all select o_orderkey, o_custkey, case when o_orderkey % 10 = 0 then 'X' else o_orderstatus end, o_totalprice from {B} where o_orderkey % 20 <> 0")
 def t_merge_branches(s, d):
     """Matched rows are deleted, or updated in one column; the others are inserted."""
     log = orders_log(s, d)
