@@ -28,6 +28,7 @@ MAGIC = b"EFTOK1\0\0"
 SAMPLE = 256
 BLOCK_IDS, BLOCK_DOCS = 2_000_000, 20_000
 REMEMBERED, LONGEST = 700_000, 40
+WORDS_AT_ONCE = 20_000
 BLOCKS = "part int, block int, before long, n_docs long, n_ids long, payload binary"
 
 
@@ -168,7 +169,7 @@ class WordEncoder:
         self.known: dict[bytes, bytes] = {}
         probe = ["The\tquick  brown", "fox's 12\n3", "Über", "été", "...  !"]
         apart = [i for t in probe for w in TAIL.sub(rb" \1", t.lower().encode()).decode().split() for i in self._ids([w])[0]]
-        self.by_word = apart == [i for ids in self._ids(probe) for i in ids] == self._ids([" ".join(probe)])[0] == self._ids([" ".join(probe).lower()])[0]
+        self.by_word = self._word_bytes(words := [w.encode() for w in " ".join(probe).split()]) == self._bytes(words) and apart == [i for ids in self._ids(probe) for i in ids] == self._ids([" ".join(probe)])[0] == self._ids([" ".join(probe).lower()])[0]
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -177,6 +178,19 @@ class WordEncoder:
         kind = f"<u{self.width}"
         return [np.array(ids, kind).tobytes() for ids in self._ids([t.decode("utf-8", "replace") for t in texts])]
 
+    def _word_bytes(self, words: list[bytes]) -> list[bytes]:
+        """The same for words, of which the library takes many at once and tells whose each id is."""
+        kind, out = f"<u{self.width}", []
+        for lo in range(0, len(words), WORDS_AT_ONCE):
+            some = [w.decode("utf-8", "replace") for w in words[lo : lo + WORDS_AT_ONCE]]
+            done = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ends = np.cumsum(np.bincount(np.array(done.word_ids, np.int64), minlength=len(some))) * self.width
+            data, at = np.array(done.ids, kind).tobytes(), 0
+            for end in ends.tolist():
+                out.append(data[at:end])
+                at = end
+        return out
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return self._bytes(texts)
@@ -187,8 +201,9 @@ class WordEncoder:
             self.known = {}
             new = set().union(*cut)
         order = list(new)
-        self.known.update(zip(order, self._bytes(order), strict=True))
-        out = [b"".join(map(self.known.__getitem__, own)) for own in cut]
+        self.known.update(zip(order, self._word_bytes(order), strict=True))
+        get = self.known.__getitem__
+        out = [b"".join(map(get, own)) for own in cut]
         for word in order:
             if len(word) > LONGEST:
                 del self.known[word]
