@@ -268,7 +268,8 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
         return pa.StructArray.from_arrays([pa.array(block), pa.array(limit)], ["block", "limit"])
 
     slots = slot.select("shard", F.xxhash64("s", "k", F.lit(seed)).alias("slot"), "s", place("s", "k").alias("_p")).select("shard", "slot", "s", "_p.block", "_p.limit")
-    return Mix(sources, documents, slots)
+    # Kept, as the planner takes what is exploded from a small table for small, and would broadcast it.
+    return Mix(sources, documents, keep(slots, "slots"))
 
 
 def mixed_rows(docs: DataFrame, text: str = "text", length: str | None = None, **how) -> DataFrame:
