@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding for merge-type (BPE) vocabularies.
 
-A text's symbols are merged by a score-ordered agenda: all adjacent pairs that form a piece wait in a heap, best score
-first and then leftmost; the best one is merged and its new neighbours join the agenda.  Symbols that are no piece fall
+A text's symbols are merged by a score-ordered agenda: of all adjacent pairs that form a piece, the one of the best score
+(of equal ones the leftmost) is merged, and the merged symbol's pairs with its neighbours join the agenda.  A chunk's
+agenda is an array of the scores in the order of the text, whose maximum is found at once; that of a long chunk is a heap.  Symbols that are no piece fall
 back to their bytes.  No piece of such a vocabulary has the space mark behind another character or a line end beside one,
 so that a run of space marks, or a line end, is encoded alone with what follows it.  Signs that no piece has behind a
 letter are cut from the words before them.  Each chunk that a worker hasn't met yet is encoded and decoded here and, in
@@ -28,8 +29,10 @@ CHUNK = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n[^{SPACE}\n]*")
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Signs that may be cut from words, and what marks such a chunk: no text of UTF-8 has it.
 SIGNS, CUT = ".,!?;:*#%&$", "\ud800"
-#: Chunks that a worker remembers (some 25 MB), and the longest of them.
-REMEMBERED, LONGEST = 120_000, 48
+#: Chunks that a worker remembers, and as many older ones (together some 60 MB), and the longest of them.
+REMEMBERED, LONGEST = 150_000, 48
+#: Symbols from which a chunk's agenda is a heap; no pair's score is as low as NO_PAIR.
+LONG_AGENDA, NO_PAIR = 64, float("-inf")
 
 
 @dataclass(frozen=True)
@@ -89,9 +92,23 @@ def read_vocabulary(model: bytes) -> Vocabulary:
     return Vocabulary(tuple(pieces), tuple(types), {p: scores[i] for p, i in mergeable.items()}, mergeable, byte, types.index(UNKNOWN))
 
 
-def encode_chunk(chunk: str, vocabulary: Vocabulary) -> list[int]:
-    """Ids of a chunk by the agenda of adjacent pairs."""
-    score = vocabulary.score
+def _merge_short(chunk: str, score: dict[str, float]) -> list[str]:
+    """The symbols of a short chunk: ``agenda[i]`` is the score of symbols i and i + 1."""
+    symbols, get = list(chunk), score.get
+    agenda = [get(chunk[i : i + 2], NO_PAIR) for i in range(len(chunk) - 1)]
+    while agenda and (best := max(agenda)) != NO_PAIR:
+        i = agenda.index(best)
+        symbols[i] = merged = symbols[i] + symbols.pop(i + 1)
+        del agenda[i]
+        if i < len(agenda):
+            agenda[i] = get(merged + symbols[i + 1], NO_PAIR)
+        if i:
+            agenda[i - 1] = get(symbols[i - 1] + merged, NO_PAIR)
+    return symbols
+
+
+def _merge_long(chunk: str, score: dict[str, float]) -> list[str]:
+    """The symbols of a chunk of any length, some of them empty."""
     symbols: list[str] = list(chunk)
     n = len(symbols)
     pairs = [chunk[i : i + 2] for i in range(n - 1)]
@@ -114,8 +131,14 @@ def encode_chunk(chunk: str, vocabulary: Vocabulary) -> list[int]:
             leader = before[left]
             if leader >= 0 and (pair := symbols[leader] + merged) in score:
                 push(agenda, (-score[pair], leader, left, len(pair)))
+    return symbols
+
+
+def encode_chunk(chunk: str, vocabulary: Vocabulary) -> list[int]:
+    """Ids of a chunk by the agenda of adjacent pairs."""
+    merge = _merge_short if len(chunk) < LONG_AGENDA else _merge_long
     ids, number, byte = [], vocabulary.number, vocabulary.byte
-    for symbol in symbols:
+    for symbol in merge(chunk, vocabulary.score):
         if symbol:
             if symbol in number:
                 ids.append(number[symbol])
@@ -148,7 +171,7 @@ def decode_ids(ids: list[int], vocabulary: Vocabulary, begins: bool = True) -> s
 
 
 class Encoder:
-    """Encodes batches of texts and remembers chunks.
+    """Encodes batches of texts and remembers chunks: when the memory is full, those not met again since it was last full go.
 
     A chunk's ids are remembered as text, and with them what they decode to where that isn't the chunk itself.
     """
@@ -159,6 +182,7 @@ class Encoder:
         self.vocabulary = read_vocabulary(model)
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.known: dict[str, str | tuple[str, str]] = {}
+        self.older: dict[str, str | tuple[str, str]] = {}
         signs = [s for s in SIGNS if not any(re.search(f"[A-Za-z]{re.escape(s)}", p) for p in self.vocabulary.number)]
         self.tail = re.compile(rf"(?<=[A-Za-z])([{re.escape(''.join(signs))}]+)(?=[ \n]|\Z)") if signs else re.compile("(?!)()")
         self.numeral = [str(i) for i in range(len(self.vocabulary.pieces))]
@@ -204,9 +228,12 @@ class Encoder:
         cut = [self.chunks(t) for t in texts]
         new = set().union(*cut).difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
+            self.older, self.known = self.known, {}
             new = set().union(*cut)
-        self.known.update(self._learn(list(new)))
+        older = self.older
+        again = {c: older[c] for c in new if c in older}
+        self.known.update(again)
+        self.known.update(self._learn(list(new.difference(again))))
         get, out = self.known.__getitem__, []
         for text, own in zip(texts, cut, strict=True):
             found = list(map(get, own))

@@ -1,6 +1,7 @@
 """Secret scan, personal data, SentencePiece, token files and language identification against brute force."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -210,6 +211,23 @@ def test_pieces_like_the_library(encoder, text):
     assert decoded == SP.decode_ids(ids, encoder.vocabulary) == encoder.library.decode(ids)
 
 
+def test_short_and_long_agendas_agree(encoder, monkeypatch):
+    draw = random.Random(3)
+    pieces = list(encoder.vocabulary.number)
+    texts = ["".join(draw.choice(pieces) for _ in range(draw.randint(0, 9))) for _ in range(2000)] + ["".join(draw.choice("aeinth.é日😀0") for _ in range(60)) for _ in range(500)]
+    short = [SP.encode_chunk(t, encoder.vocabulary) for t in texts]
+    monkeypatch.setattr(SP, "LONG_AGENDA", 0)
+    assert short == [SP.encode_chunk(t, encoder.vocabulary) for t in texts]
+
+
+def test_forgotten_chunks_are_learned_again(encoder, monkeypatch):
+    monkeypatch.setattr(SP, "REMEMBERED", 20)
+    texts = [f"word{i % 31} and number {i} or {i % 7}" for i in range(300)]
+    got = [row for i in range(0, 300, 3) for row in encoder.encode(texts[i : i + 3])]
+    assert got == [(len(ids), ",".join(map(str, ids)), t) for t, ids in zip(texts, encoder.library.encode(texts), strict=True)]
+    assert len(encoder.known) <= 20 and len(encoder.older) <= 20
+
+
 def test_disagreement_is_refused():
     """An encoder that lacks a piece doesn't pass the library's ids off as its own."""
     wrong = SP.Encoder(MODEL)
