@@ -11,8 +11,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import keep
+
 #: Fixed value: what stands for null in a hash, and the delimiter.
 NULL_TOKEN, DELIMITER = "^^", "||"
+#: Rows of one key that a task may sort, the share of such keys' rows from which a key is heavy, and stretches at most.
+SORT_ROWS, HEAVY_SHARE, MOST_STRETCHES = 1_000_000, 1e-4, 10_000
 
 
 def hash_key(*columns: str | Column) -> Column:
@@ -81,16 +85,46 @@ def scd2_apply(stored: DataFrame, delta: DataFrame, key: list[str], attributes:
     return closed.select(kept.columns).union(kept).union(added)
 
 
+def _heavy_keys(rows: DataFrame, key: list[str]) -> tuple[DataFrame, int] | None:
+    """``_h0, _h1, ...``: keys with too many rows for one task, under 1 / ``HEAVY_SHARE`` of them, and their rows' number."""
+    big = rows.groupBy(*key).agg(F.count("*").alias("_n")).filter(F.col("_n") > SORT_ROWS)
+    total = big.agg(F.sum("_n")).first()[0]
+    if total is None:
+        return None
+    heavy = big.filter(F.col("_n") > total * HEAVY_SHARE)
+    return keep(heavy.select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(key)]), "heavy-keys"), total
+
+
 def as_of(spine: DataFrame, rows: DataFrame, key: list[str], at: str, ts: str, columns: list[str], seq: str | None = None) -> DataFrame:
-    """For each spine row the values of the latest row not after it: one union and one sort by key, no range join."""
+    """For each spine row the values of the latest row not after it: one union and one sort by key, no range join.
+
+    Keys of over ``SORT_ROWS`` rows are dealt by ranges of key and time instead, so that several tasks sort one key; each
+    stretch takes over the last values of those before it.  Null keys match each other, null times come first, and rows that
+    tie in time and ``seq`` are ordered by a hash of their values.
+    """
     kind = rows.schema[ts].dataType
     extra = [c for c in spine.columns if c not in key]
     order = F.col(seq) if seq else F.lit(0)
     right = rows.select(*key, F.col(ts).alias("_at"), F.lit(0).alias("_side"), order.cast("long").alias("_seq"), *[F.lit(None).cast(spine.schema[c].dataType).alias(f"_s_{c}") for c in extra], F.struct(*columns).alias("_v"))
     left = spine.select(*key, F.col(at).cast(kind).alias("_at"), F.lit(1).alias("_side"), F.lit(0).cast("long").alias("_seq"), *[F.col(c).alias(f"_s_{c}") for c in extra], F.lit(None).cast(right.schema["_v"].dataType).alias("_v"))
-    w = Window.partitionBy(*key).orderBy("_at", "_side", "_seq").rowsBetween(Window.unboundedPreceding, 0)
-    filled = right.unionByName(left).withColumn("_last", F.last("_v", ignorenulls=True).over(w)).filter("_side = 1")
-    return filled.select(*key, *[F.col(f"_s_{c}").alias(c) for c in extra], "_last.*")
+    both = right.unionByName(left).withColumn("_tie", F.xxhash64("_v", *[f"_s_{c}" for c in extra]))
+    by = ["_at", "_side", "_seq", "_tie"]
+    last = lambda *of: F.last("_v", ignorenulls=True).over(Window.partitionBy(*of).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0))
+    answer = lambda filled: filled.filter("_side = 1").select(*key, *[F.col(f"_s_{c}").alias(c) for c in extra], "_last.*")
+    found = _heavy_keys(both, key)
+    if found is None:
+        return answer(both.withColumn("_last", last(*key)))
+    heavy, total = found
+    match = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_h{i}")) for i, k in enumerate(key)])
+    light = both.join(F.broadcast(heavy), match, "left_anti")
+    stretches = min(MOST_STRETCHES, -(-total // SORT_ROWS))
+    cut = both.join(F.broadcast(heavy), match, "left_semi").repartitionByRange(stretches, *key, *by).withColumn("_p", F.spark_partition_id())
+    cut = keep(cut, "stretches")
+    ends = cut.groupBy(*key, "_p").agg(F.max_by("_v", F.when(F.col("_side") == 0, F.struct(*by))).alias("_v"))  # keys and stretches at most
+    before = F.last("_v", ignorenulls=True).over(Window.partitionBy(*key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    ends = ends.select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(key)], F.col("_p").alias("_hp"), before.alias("_before"))
+    filled = cut.withColumn("_last", last("_p", *key)).filter("_side = 1").join(F.broadcast(ends), match & (F.col("_p") == F.col("_hp")))
+    return answer(light.withColumn("_last", last(*key))).union(answer(filled.withColumn("_last", F.coalesce("_last", "_before"))))
 
 
 def bridge(frames: list[DataFrame], on: list[list[str]]) -> DataFrame:
