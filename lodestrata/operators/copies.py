@@ -1,7 +1,8 @@
 """Materialised copies: raw column subsets and aggregates that answer the queries they cover.
 
 The caller names the base table and a query as dimensions and measures; whether a copy answers it is decided here, by
-its columns.  Only states that add up are stored: sums, counts, least and greatest values.  Distinct counts use the base table.
+its columns.  Only states that add up are stored: sums, counts, least and greatest values, and, for the columns named as
+``sketched``, HyperLogLog sketches.  These answer ``approx_cardinality`` alone; exact distinct counts use the base table.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ class RawCopy:
 
 @dataclass
 class AggregateCopy:
-    """Stores n and, for each column, sum_, count_, min_ and max_; refreshes go to a new folder."""
+    """Stores n and, for each column, sum_, count_, min_ and max_, for a sketched one hll_; refreshes go to a new folder."""
 
     spark: SparkSession
     path: str
@@ -47,10 +48,11 @@ class AggregateCopy:
     version: int
     generation: int = 0
     usable: bool = field(default=True)
+    sketched: list[str] = field(default_factory=list)
 
     @classmethod
-    def build(cls, rows: DataFrame, path: str, dimensions: list[str], columns: list[str], version: int) -> AggregateCopy:
-        copy = cls(rows.sparkSession, path, list(dimensions), list(columns), version)
+    def build(cls, rows: DataFrame, path: str, dimensions: list[str], columns: list[str], version: int, sketched: list[str] = ()) -> AggregateCopy:
+        copy = cls(rows.sparkSession, path, list(dimensions), list(columns), version, sketched=list(sketched))
         copy._states(rows).write.parquet(copy._folder())
         return copy
 
@@ -61,7 +63,7 @@ class AggregateCopy:
         out = [F.count("*").alias("n")]
         for c in self.columns:
             out += [F.sum(c).alias(f"sum_{c}"), F.count(c).alias(f"count_{c}"), F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
-        return rows.groupBy(*self.dimensions).agg(*out)
+        return rows.groupBy(*self.dimensions).agg(*out, *[F.hll_sketch_agg(F.col(c).cast("string")).alias(f"hll_{c}") for c in self.sketched])
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self._folder())
@@ -71,7 +73,7 @@ class AggregateCopy:
         out = [F.sum("n").alias("n")]
         for c in self.columns:
             out += [F.sum(f"sum_{c}").alias(f"sum_{c}"), F.sum(f"count_{c}").alias(f"count_{c}"), F.min(f"min_{c}").alias(f"min_{c}"), F.max(f"max_{c}").alias(f"max_{c}")]
-        return rows.groupBy(*by).agg(*out)
+        return rows.groupBy(*by).agg(*out, *[F.hll_union_agg(f"hll_{c}").alias(f"hll_{c}") for c in self.sketched])
 
     def refresh(self, new_rows: DataFrame, version: int) -> None:
         """Add new rows of the source; rows that were changed or deleted need a new build."""
@@ -82,7 +84,8 @@ class AggregateCopy:
 
     def covers(self, spec: dict) -> bool:
         known = {"sum", "avg", "min", "max", "count"}
-        return self.usable and set(spec["dimensions"]) <= set(self.dimensions) and all(op in known and (c is None or c in self.columns) for op, c in spec["measures"])
+        held = lambda op, c: c in self.sketched if op == "approx_cardinality" else op in known and (c is None or c in self.columns)
+        return self.usable and set(spec["dimensions"]) <= set(self.dimensions) and all(held(op, c) for op, c in spec["measures"])
 
 
 def _name(op: str, column: str | None) -> str:
@@ -93,11 +96,13 @@ def answer(base: DataFrame, spec: dict, copies: list[AggregateCopy]) -> tuple[Da
     """The query's rows and the copy that gave them, the one with the fewest dimensions that covers it, or else the base."""
     fit = sorted((c for c in copies if c.covers(spec)), key=lambda c: len(c.dimensions))
     if not fit:
-        made = {"sum": F.sum, "min": F.min, "max": F.max, "cardinality": F.count_distinct, "avg": lambda c: F.sum(c).cast("double") / F.count(c)}
+        sketch = lambda c: F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c).cast("string")))
+        made = {"approx_cardinality": sketch, "sum": F.sum, "min": F.min, "max": F.max, "cardinality": F.count_distinct, "avg": lambda c: F.sum(c).cast("double") / F.count(c)}
         measures = [(F.count("*") if c is None else F.count(c) if op == "count" else made[op](c)).alias(_name(op, c)) for op, c in spec["measures"]]
         return base.groupBy(*spec["dimensions"]).agg(*measures), None
     rolled = fit[0].merged(fit[0].read(), spec["dimensions"])
-    value = lambda op, c: F.col("n") if c is None else F.col(f"sum_{c}").cast("double") / F.col(f"count_{c}") if op == "avg" else F.col(f"{op}_{c}")
+    made = {"avg": lambda c: F.col(f"sum_{c}").cast("double") / F.col(f"count_{c}"), "approx_cardinality": lambda c: F.hll_sketch_estimate(f"hll_{c}")}
+    value = lambda op, c: F.col("n") if c is None else made[op](c) if op in made else F.col(f"{op}_{c}")
     return rolled.select(*spec["dimensions"], *[value(op, c).alias(_name(op, c)) for op, c in spec["measures"]]), fit[0]
 
 

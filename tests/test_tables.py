@@ -198,6 +198,20 @@ def test_copies(spark):
         assert not copy.covers(other)
 
 
+def test_sketches_answer_approximate_counts_only(spark):
+    """Rolled-up sketches estimate what one over the base does, nulls left out; exact counts go to the base."""
+    rows = spark.range(4000).selectExpr("id % 3 as d", "id % 5 as e", "if(id % 10 = 0, null, id % 1500) as v")
+    copy = K.AggregateCopy.build(rows.filter("d < 2"), new_path(spark, "copy"), ["d", "e"], [], 1, ["v"])
+    copy.refresh(rows.filter("d = 2"), 2)
+    spec = {"dimensions": ["d"], "measures": [("approx_cardinality", "v")]}
+    got, used = K.answer(rows, spec, [copy])
+    exact = dict(rows.groupBy("d").agg(F.count_distinct("v")).collect())
+    assert used is copy and all(abs(n - exact[d]) <= 0.05 * exact[d] for d, n in got.collect()) and got.count() == 3
+    base, used = K.answer(rows, spec, [])
+    assert used is None and all(abs(n - exact[d]) <= 0.05 * exact[d] for d, n in base.collect())
+    assert K.answer(rows, {"dimensions": ["d"], "measures": [("cardinality", "v")]}, [copy])[1] is None
+
+
 def test_policies(spark):
     rows = spark.createDataFrame([("a", 1)], "n string, k int")
     with pytest.raises(ValueError, match="mask"):
