@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, exact_dedup, language_id, minhash_dedup, mixing, pii, secret_scan, sentence_pieces, token_files, warc
+from . import embedding_dedup, exact_dedup, language_id, lexical_search, minhash_dedup, mixing, pii, resampling, secret_scan, sentence_pieces, token_files, warc
 
 
 def queries() -> dict:
@@ -17,8 +17,16 @@ def queries() -> dict:
         "op8_token_files": token_files.op8_token_files,
         "op9_language_id": language_id.op9_language_id,
         "op10_mixing": mixing.op10_mixing,
+        "op11_resampling": resampling.op11_resampling,
+        "op12_lexical_search": lexical_search.op12_lexical_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.OP2_SQL, "op3_minhash_dedup": minhash_dedup.OP3_SQL, "op6_embedding_dedup": embedding_dedup.OP6_SQL, "op7_warc": warc.OP7_SQL}
+    return {
+        "op2_exact_dedup": exact_dedup.OP2_SQL,
+        "op3_minhash_dedup": minhash_dedup.OP3_SQL,
+        "op6_embedding_dedup": embedding_dedup.OP6_SQL,
+        "op7_warc": warc.OP7_SQL,
+        "op12_lexical_search": lexical_search.OP12_SQL,
+    }
