@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, exact_dedup, language_id, lexical_search, minhash_dedup, mixing, pii, resampling, secret_scan, sentence_pieces, token_files, warc
+from . import embedding_dedup, exact_dedup, language_id, lexical_search, minhash_dedup, mixing, pii, resampling, secret_scan, sentence_pieces, token_files, toxicity, warc
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op10_mixing": mixing.op10_mixing,
         "op11_resampling": resampling.op11_resampling,
         "op12_lexical_search": lexical_search.op12_lexical_search,
+        "op13_toxicity": toxicity.op13_toxicity,
     }
 
 
