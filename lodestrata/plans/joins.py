@@ -81,11 +81,10 @@ def j_cardinality_check(s, d):
 @query("j_effective_range", f"""with {M.RANGES_SQL}, days as (select distinct cast(ts as date) as day from events)
   select day, user_id, event_type from days join ranges on effective_date <= day and (expiry_date is null or day < expiry_date)""")
 def j_effective_range(s, d):
-    """For many dates: the range that holds each date, by one sort of each key's dates and ranges."""
-    ranges = M.ranges_frame(s, d)
-    days = table(s, d, "events").select(F.to_date("ts").alias("day")).distinct()
-    spine = ranges.select("user_id").distinct().crossJoin(F.broadcast(days))  # a calendar: days of the data, times users
-    return V.as_of(spine, ranges, ["user_id"], "day", "effective_date", ["event_type", "expiry_date"]).filter("event_type is not null").select("day", "user_id", "event_type")
+    """For many dates: the range that holds each date, emitted from the ranges."""
+    days = table(s, d, "events").select(F.to_date("ts").alias("day"))
+    states = V.states_by_day({"r": (M.ranges_frame(s, d), "effective_date", ["event_type", "expiry_date"])}, ["user_id"], days)
+    return states.filter("r.expiry_date is null or day < r.expiry_date").select("day", "user_id", "r.event_type")
 
 
 PIT_SQL = """with days as (select distinct cast(ts as date) as day from events), users as (select distinct user_id from events),
@@ -96,8 +95,7 @@ PIT_SQL = """with days as (select distinct cast(ts as date) as day from events),
 
 def pit(s, d):
     events = table(s, d, "events")
-    spine = events.select("user_id").distinct().crossJoin(F.broadcast(events.select(F.to_date("ts").alias("day")).distinct()))
-    return V.as_of(spine, events, ["user_id"], "day", "ts", ["event_id", "event_type"], "event_id").filter("event_id is not null").select("user_id", "day", "event_id", "event_type")
+    return V.states_by_day({"e": (events, "ts", ["event_id", "event_type"])}, ["user_id"], events.select(F.to_date("ts").alias("day")), "event_id").select("user_id", "day", "e.event_id", "e.event_type")
 
 
 query("j_pit", PIT_SQL)(pit)

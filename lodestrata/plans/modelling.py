@@ -51,11 +51,12 @@ SAT_SQL = """select user_id, {hash} as hash_diff, event_type, ts, event_id from
 
 @query("dv_sat", SAT_SQL.format(hash=raw("event_type")))
 def dv_sat(s, d):
-    """Two loads give what one load of all rows would."""
-    rows = table(s, d, "events").select("user_id", "event_type", "ts", "event_id")
-    cut = F.lit("2024-01-12 00:00:00").cast("timestamp_ntz")
-    first = keep(V.satellite(None, rows.filter(F.col("ts") < cut), "user_id", ["event_type"], "ts", "event_id"), "sat")
-    return first.unionByName(V.satellite(first, rows.filter(F.col("ts") >= cut), "user_id", ["event_type"], "ts", "event_id"))
+    """Two loads, the second with as many late rows as new ones, give what one load of all rows would."""
+    rows, history = table(s, d, "events").select("user_id", "event_type", "ts", "event_id"), None
+    for half in (1, 0):
+        changes = keep(V.splice(history, rows.filter(F.col("event_id") % 2 == half), "user_id", ["event_type"], "ts", "event_id"), "changes")
+        history = V.spliced(history, changes, "user_id", "ts", "event_id")
+    return history.filter("changed").drop("changed")
 
 
 @query("dv_lsat", f"""with r as (select {h('l_orderkey', 'l_partkey', 'l_suppkey')} as hkey_link, l_returnflag, l_linestatus, l_shipdate, l_linenumber from lineitem),
@@ -90,10 +91,9 @@ query("dv_snapshot", PIT_SQL)(pit)
 def dv_pit(s, d):
     """For each key and day the rows in effect of two satellites."""
     events = table(s, d, "events")
-    spine = events.select("user_id").distinct().crossJoin(F.broadcast(events.select(F.to_date("ts").alias("day")).distinct()))
-    for name, test in (("view_id", "event_type = 'view'"), ("other_id", "event_type <> 'view'")):
-        spine = V.as_of(spine, events.filter(test).select("user_id", "ts", F.col("event_id").alias(name)), ["user_id"], "day", "ts", [name], name)
-    return spine.filter("view_id is not null or other_id is not null").select("user_id", "day", "view_id", "other_id")
+    two = {"a": (events.filter("event_type = 'view'"), "ts", ["event_id"]), "b": (events.filter("event_type <> 'view'"), "ts", ["event_id"])}
+    states = V.states_by_day(two, ["user_id"], events.select(F.to_date("ts").alias("day")), "event_id")
+    return states.select("user_id", "day", F.col("a.event_id").alias("view_id"), F.col("b.event_id").alias("other_id"))
 
 
 query("dv_bridge", BRIDGE_SQL)(bridge)

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: A table of so many rows at most (some 20 MB of keys) may be broadcast.
+SMALL_ROWS = 400_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,3 +33,15 @@ def keep(df: DataFrame, name: str = "kept") -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def few(kept: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
+    """A kept table, marked for broadcast if a count shows that it is small."""
+    return F.broadcast(kept) if kept.count() <= most else kept
+
+
+def null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    """A join in which nulls match each other; ``left``'s columns come first, then ``right``'s others."""
+    renamed = right.withColumnsRenamed({c: f"_on_{i}" for i, c in enumerate(on)})
+    match = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_on_{i}")) for i, c in enumerate(on)])
+    return left.join(renamed, match, how).drop(*[f"_on_{i}" for i in range(len(on))])

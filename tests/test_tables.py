@@ -150,29 +150,6 @@ def test_satellite_keeps_returns(spark):
     assert rows_of(first.union(V.satellite(first, rows, "k", ["a"], "ts", "seq"))) == rows_of(whole)
 
 
-def test_as_of_of_heavy_keys(spark, monkeypatch):
-    """Keys that several tasks sort (1 and null) give what one task gives: by brute force, with ties, null keys and null times."""
-    rows = [(None if i % 11 == 0 else 1 if i % 3 else i % 7, None if i % 29 == 0 else i * 37 % 50, i, f"v{i}") for i in range(400)]
-    spine = [(None if i % 13 == 0 else 1 if i % 4 else i % 9, None if i % 31 == 0 else i * 17 % 60, i) for i in range(300)]
-    at = lambda t: -1 if t is None else t
-    want = []
-    for k, day, i in spine:
-        own = [(at(t), n, v) for key, t, n, v in rows if key == k and at(t) <= at(day)]
-        want.append((k, day, i, max(own)[2] if own else None))
-    frames = spark.createDataFrame(spine, "k int, day int, i int"), spark.createDataFrame(rows, "k int, ts int, n int, v string")
-    call = lambda: rows_of(V.as_of(*frames, ["k"], "day", "ts", ["v"], "n").select("k", "day", "i", "v"))
-    assert call() == sorted(want, key=str)
-    monkeypatch.setattr(V, "SORT_ROWS", 30)
-    assert len(V._heavy_keys(frames[1].select("k"), ["k"])[0].collect()) >= 2
-    assert call() == sorted(want, key=str)
-
-
-def test_as_of_of_an_empty_table(spark):
-    spine, none = spark.createDataFrame([(1, 2)], "k int, day int"), spark.createDataFrame([], "k int, ts int, v string")
-    assert rows_of(V.as_of(spine, none, ["k"], "day", "ts", ["v"])) == [(1, 2, None)]
-    assert rows_of(V.as_of(spine.filter("k > 1"), none, ["k"], "day", "ts", ["v"])) == []
-
-
 def test_scd2_delta(spark):
     stored = spark.createDataFrame([(1, "a", 1, None, True), (2, "b", 1, None, True)], "k int, v string, effective_date int, expiry_date int, is_current boolean")
     out = V.scd2_apply(stored, spark.createDataFrame([(1, "z"), (2, "b"), (3, "n")], "k int, v string"), ["k"], ["v"], F.lit(5))
