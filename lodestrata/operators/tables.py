@@ -1,7 +1,7 @@
 """Versioned tables as keyed change logs in Parquet.
 
-A write adds a folder of its own with changed rows, marked I, U or D, and then creates the commit file of the next version,
-which fails if another writer was first; the write then starts again from the new version.  A folder without a commit is
+A write adds a folder of its own with changed rows, marked I, U or D, and then creates the commit file of the next version
+whole, which fails if another writer was first; the write then starts again from the new version.  A folder without a commit is
 never read.  A version of the table is its last base, without the keys changed since, and the latest change of each of
 these.  Where a catalog has tables with UPDATE, MERGE and time travel of its own, these are the native statements.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from ..shared import keep, new_path
+from ..shared import create_once, keep, new_path, null_safe
 
 #: ``base_of``: the version whose whole content the folder holds.
 COMMIT = "version int, committed_at timestamp_ntz, operation string, n_rows long, n_inserted long, n_updated long, n_deleted long, base_of int, folder string"
@@ -113,31 +113,14 @@ class ChangeLog:
             counts = [n["I"], n["U"], n["D"] if deleted is None else deleted]
             names = [c.split()[0] for c in COMMIT.split(", ")]
             row = dict(zip(names, (before + 1, str(_time(at)), operation, n["I"] + n["U"] + n["D"], *counts, base_of, folder), strict=True))
-            if self._create(f"{self.path}/commits/{before + 1:09d}.json", json.dumps(row)):
+            if create_once(self.spark, f"{self.path}/commits/{before + 1:09d}.json", json.dumps(row)):
                 return before + 1
             self._delete(path)
         raise RuntimeError(f"{ATTEMPTS} other writers were first")
 
-    def _file_system(self, path: str):
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return at, at.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _create(self, path: str, text: str) -> bool:
-        """Create a file; False if it is there already."""
-        at, system = self._file_system(path)
-        try:
-            out = system.create(at, False)
-        except Exception:
-            if system.exists(at):
-                return False
-            raise
-        out.write(bytearray(text.encode()))
-        out.close()
-        return True
-
     def _delete(self, path: str) -> None:
-        at, system = self._file_system(path)
-        system.delete(at, True)
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
 
     def update(self, where: Column, changes: dict[str, Column], at: str) -> int:
         new = [changes[c].cast(self.schema[c].dataType).alias(c) if c in changes else F.col(c) for c in self.schema.names]
@@ -273,23 +256,38 @@ def files(spark: SparkSession, path: str) -> DataFrame:
     return found.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"), F.regexp_extract("path", "([^/]*)$", 1).alias("file"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
 
 
-def compact(spark: SparkSession, path: str, to: str, target_bytes: int, min_files: int = 2, partition: str | None = None) -> DataFrame:
-    """Rewrite partitions with at least ``min_files`` files under the target size into files of about that size.
+def compact(spark: SparkSession, path: str, to: str, target_bytes: int, min_files: int = 2, partition: str | None = None, where: Column | None = None, least_bytes: int | None = None, most_bytes: int | None = None) -> DataFrame:
+    """Rewrite folders with at least ``min_files`` files that are too small or too large into files of about the target size.
+
+    Too small is under ``least_bytes`` (by default the target), too large over ``most_bytes`` (by default no file is).  With
+    ``partition``, each of its values is a folder, and ``where`` is a condition on it: others are left.  The new folder
+    ``to`` holds the whole table: what needs no rewriting is copied as it lies, one task for each of its files or parts of
+    them.  Where nothing needs rewriting nothing is written, and ``path`` remains the table.
 
-    Returns ``folder, files_before, bytes_before, files_after``; rows stay as they are.
+    Returns ``folder, files_before, bytes_before, files_after`` of what was rewritten; rows stay as they are.
     """
-    small = files(spark, path).groupBy("folder").agg(F.count("*").alias("files_before"), F.sum("bytes").alias("bytes_before"), F.count_if(F.col("bytes") < target_bytes).alias("n_small"))
-    plan = small.filter(F.col("n_small") >= min_files).withColumn("files_after", F.ceil(F.col("bytes_before") / F.lit(target_bytes)).cast("int"))
+    odd = F.col("bytes") < (target_bytes if least_bytes is None else least_bytes)
+    if most_bytes is not None:
+        odd |= F.col("bytes") > most_bytes
+    found = files(spark, path).groupBy("folder").agg(F.count("*").alias("files_before"), F.sum("bytes").alias("bytes_before"), F.count_if(odd).alias("n_odd"))
     rows = spark.read.parquet(path)
     if partition:
-        value = F.regexp_extract("folder", f"{partition}=([^/]*)", 1).alias(partition)
-        parts = plan.select(value, "files_after").withColumn(partition, F.col(partition).cast(rows.schema[partition].dataType))
-        spread = rows.join(parts, partition).withColumn("_file", F.pmod(F.xxhash64(*rows.columns), "files_after"))
-        spread.repartition(partition, "_file").drop("_file", "files_after").write.mode("overwrite").partitionBy(partition).parquet(to)
-    else:
-        n = plan.agg(F.coalesce(F.max("files_after"), F.lit(1))).first()[0]
-        rows.repartition(n).write.mode("overwrite").parquet(to)
-    return plan.drop("n_small")
+        value = F.url_decode(F.replace(F.regexp_extract("folder", f"{partition}=([^/]*)", 1), F.lit("+"), F.lit("%2B")))
+        found = found.withColumn("_value", F.when(value != "__HIVE_DEFAULT_PARTITION__", value).cast(rows.schema[partition].dataType))
+    if where is not None:
+        found = found.withColumn(partition, F.col("_value")).filter(where).drop(partition)
+    plan = keep(found.filter(F.col("n_odd") >= min_files).withColumn("files_after", F.ceil(F.col("bytes_before") / F.lit(target_bytes)).cast("int")), "plan")
+    total = plan.agg(F.sum("files_after")).first()[0]
+    if total and partition:
+        parts = plan.select(F.col("_value").alias(partition), "files_after")
+        spread = null_safe(rows, parts, [partition], "left")
+        whole = spread.filter("files_after is null").drop("files_after")
+        dealt = spread.filter("files_after is not null").withColumn("_file", F.pmod(F.xxhash64(*rows.columns), "files_after")).repartitionByRange(total, partition, "_file")
+        dealt.drop("_file", "files_after").write.mode("overwrite").partitionBy(partition).parquet(to)
+        whole.write.mode("append").partitionBy(partition).parquet(to)
+    elif total:
+        rows.repartition(total).write.mode("overwrite").parquet(to)
+    return plan.select("folder", "files_before", "bytes_before", "files_after")
 
 
 def spread(rows: DataFrame, columns: list[str], rows_a_file: int | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import tables as T
-from ..shared import new_path
+from ..shared import keep, new_path
 from ..sources import ingest as I
 from ..streaming import flows as Z
 from . import model as M
@@ -65,7 +65,18 @@ def i_upsert(s, d):
 
 
 query("i_cdc_soft", f"select * from {CDC}")(lambda s, d: I.apply_changes(None, log_rows(s, d), ["user_id"], ["ts", "seq"], hard=False))
-query("i_cdc_hard", f"select * exclude (_op_type) from {CDC} where _op_type <> 'd'")(lambda s, d: I.apply_changes(None, log_rows(s, d), ["user_id"], ["ts", "seq"], hard=True))
+
+
+@query("i_cdc_hard", f"select * exclude (_op_type) from {CDC} where _op_type <> 'd'")
+def i_cdc_hard(s, d):
+    """Two batches, each with changes from before and after the other's; tombstones keep deleted keys from coming back."""
+    target = None
+    for half in (1, 0):
+        target = I.merge_changes(target, log_rows(s, d).filter(F.col("seq") % 2 == half), ["user_id"], ["ts", "seq"], hard=True)
+        target = target if half == 0 else keep(target, "target")
+    return I.live(target)
+
+
 query("i_current_state", f"select * exclude (_op_type) from {CDC}")(lambda s, d: I.latest(log_rows(s, d).drop("op"), ["user_id"], ["ts", "seq"]))
 
 
@@ -139,23 +150,22 @@ def event_folder(s, d, parts=3):
 STREAMED = "select user_id, arg_max(event_id, (ts, event_id)) as event_id, max(ts) as ts, arg_max(event_type, (ts, event_id)) as event_type from events group by user_id"
 
 
-def empty_log(s, rows) -> T.ChangeLog:
-    return T.ChangeLog.create(rows.limit(0), ["user_id"], "2024-01-01 00:00:00")
+def event_sink(s, rows) -> Z.KeyedSink:
+    return Z.KeyedSink(s, new_path(s, "sink"), ["user_id"], ["ts", "event_id"], rows.schema)
 
 
 @query("i_bounded_stream", STREAMED)
 def i_bounded_stream(s, d):
     """Two bounded runs over a growing folder; a third one finds nothing."""
     path, rows = event_folder(s, d)
-    log, checkpoint = empty_log(s, rows), new_path(s, "checkpoint")
-    write = Z.merge_into(log, ["ts", "event_id"], lambda n: "2024-02-01 00:00:00")
-    Z.bounded(Z.source(s, path, rows.schema), checkpoint, write)
+    sink, checkpoint = event_sink(s, rows), new_path(s, "checkpoint")
+    run = lambda: Z.bounded(Z.last_of_key(Z.source(s, path, rows.schema), sink.key, sink.order), checkpoint, sink.writer(checkpoint))
+    run()
     rows.filter("event_id % 4 = 3").write.mode("append").parquet(path)
-    Z.bounded(Z.source(s, path, rows.schema), checkpoint, write)
-    last = Z.bounded(Z.source(s, path, rows.schema), checkpoint, write)
-    if Z.rows_written(last):
+    run()
+    if Z.rows_written(run()):
         raise AssertionError("a run without new files read rows")
-    return log.read()
+    return sink.read()
 
 
 @query("i_stream_job", STREAMED)
@@ -163,15 +173,15 @@ def i_stream_job(s, d):
     """After a checkpoint reset all data comes again; the keyed sink stays as it was."""
     path, rows = event_folder(s, d)
     rows.filter("event_id % 4 = 3").write.mode("append").parquet(path)
-    log = empty_log(s, rows)
-    write = Z.merge_into(log, ["ts", "event_id"], lambda n: "2024-02-01 00:00:00")
+    sink = event_sink(s, rows)
     for _ in range(2):
-        job = Z.continuous(Z.source(s, path, rows.schema), new_path(s, "checkpoint"), write, every="0 seconds")
+        checkpoint = new_path(s, "checkpoint")
+        job = Z.continuous(Z.last_of_key(Z.source(s, path, rows.schema), sink.key, sink.order), checkpoint, sink.writer(checkpoint), every="0 seconds")
         try:
             job.processAllAvailable()
         finally:
             job.stop()
-    return log.read()
+    return sink.read()
 
 
 query("i_select_filter", "select l_orderkey, l_partkey from lineitem where l_returnflag = 'R'")(lambda s, d: I.select_filter(table(s, d, "lineitem"), ["l_orderkey", "l_partkey"], "l_returnflag = 'R'"))

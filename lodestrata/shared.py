@@ -9,9 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A table of so many rows at most (some 20 MB of keys) may be broadcast.
-SMALL_ROWS = 400_000
-
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``, which driver and executors share; a folder of our own only in a local session without it."""
@@ -35,9 +32,27 @@ def keep(df: DataFrame, name: str = "kept") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def few(kept: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
-    """A kept table, marked for broadcast if a count shows that it is small."""
-    return F.broadcast(kept) if kept.count() <= most else kept
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file whole, or leave the one that is there and return False.
+
+    The text goes to a file of another name, which is then renamed without overwriting, so that a writer that dies leaves
+    no half-written file under ``path``.  On stores whose rename can't refuse to overwrite, use one writer.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at, part = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path.rpartition('/')[0]}/_part-{uuid.uuid4().hex}")
+    system = at.getFileSystem(conf)
+    out = system.create(part, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), conf).rename(system.makeQualified(part), system.makeQualified(at), none)
+        return True
+    except Exception:
+        system.delete(part, False)
+        if system.exists(at):
+            return False
+        raise
 
 
 def null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:

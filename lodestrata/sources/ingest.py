@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..shared import create_once
+
 STATE = "flow string, run int, name string, watermark string, config string, n_rows long"
 KEPT_RUNS = 10
 DOUBLE_DIGITS = 15
@@ -43,8 +45,10 @@ class State:
         return last[0]["watermark"]
 
     def save(self, flow: str, positions: list[tuple[str, str | None, dict, int]]) -> int:
-        """Called after all data of a run is written."""
+        """Called after all data of a run is written; two runs can't take one number."""
         run = (self.rows().filter(F.col("flow") == flow).agg(F.max("run")).first()[0] or 0) + 1
+        while not create_once(self.spark, f"{self.path}/_claims/{hashlib.sha256(flow.encode()).hexdigest()[:24]}-{run}", flow):
+            run += 1
         rows = [(flow, run, name, mark, fingerprint(config), n) for name, mark, config, n in positions]
         self.spark.createDataFrame(rows, STATE).coalesce(1).write.mode("append").json(self.path)
         return run
@@ -100,15 +104,50 @@ def upsert(target: DataFrame | None, batch: DataFrame, key: list[str], order: li
     return latest(batch if target is None else target.unionByName(batch), key, order)
 
 
+def merge_changes(target: DataFrame | None, changes: DataFrame, key: list[str], order: list[str], hard: bool, op: str = "op", since: str | None = None) -> DataFrame:
+    """The stored target after a batch of changes, whatever the order in which batches come.
+
+    Each key has one row with its last ``_op_type``.  Soft: a deleted row stays whole.  Hard: of a deleted row only key and
+    ``order`` stay, a tombstone, so that what arrives late doesn't revive the key; an insert after the delete does.  With
+    ``since``, a time in the first column of ``order``, changes from before it are refused (see ``too_late``), so that older
+    tombstones can be dropped; it mustn't go back from batch to batch.  Changes that tie in ``order`` are ordered by their
+    operation and a hash of their values.
+    """
+    rows = changes.withColumnRenamed(op, "_op_type")
+    if since is not None:
+        rows = rows.filter(~_before(rows, order, since))
+    if target is not None:
+        rows = target.unionByName(rows)
+    values = [c for c in rows.columns if c not in key]
+    last = F.max_by(F.struct(*values), F.struct(*order, "_op_type", F.xxhash64(*values)))
+    gone = F.col("_r._op_type") == "d"
+    kept = lambda c: F.when(~gone, F.col(f"_r.{c}")).alias(c) if hard and c not in [*order, "_op_type"] else F.col(f"_r.{c}")
+    out = rows.groupBy(*key).agg(last.alias("_r")).select(*[F.col(c) if c in key else kept(c) for c in rows.columns])
+    return out if since is None or not hard else out.filter((F.col("_op_type") != "d") | ~_before(out, order, since))
+
+
+def _before(rows: DataFrame, order: list[str], since: str) -> Column:
+    """Whether a row is older than a time; a row without a time is."""
+    return F.coalesce(F.col(order[0]) < F.lit(since).cast(rows.schema[order[0]].dataType), F.lit(True))
+
+
+def too_late(changes: DataFrame, order: list[str], since: str) -> DataFrame:
+    """The changes that ``merge_changes`` refuses because they are older than what its tombstones cover."""
+    return changes.filter(_before(changes, order, since))
+
+
+def live(target: DataFrame) -> DataFrame:
+    """The rows of a stored target that aren't deleted."""
+    return target.filter("_op_type <> 'd'").drop("_op_type")
+
+
 def apply_changes(target: DataFrame | None, changes: DataFrame, key: list[str], order: list[str], hard: bool, op: str = "op") -> DataFrame:
     """Current state from a change log.  Soft: deleted rows stay with ``_op_type`` 'd'.  Hard: they go.
 
-    An insert after a delete revives the key.
+    ``target`` is one that ``merge_changes`` gave; a hard one has tombstones, and its state is returned without them.
     """
-    rows = latest(changes.withColumnRenamed(op, "_op_type"), key, order)
-    if target is not None:
-        rows = latest(target.unionByName(rows), key, order)
-    return rows.filter("_op_type <> 'd'").drop("_op_type") if hard else rows
+    out = merge_changes(target, changes, key, order, hard, op)
+    return live(out) if hard else out
 
 
 def exact_decimal(column: Column, kind: str = "decimal(38,9)") -> Column:
