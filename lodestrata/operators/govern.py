@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 MAX_PATCH = 1000
 #: Figures in the result tables of one report: pages of at most 500 rows.
 MAX_CELLS = 20_000
+MAX_CLAIMS = 2_000
 
 
 def rows_for(rows: DataFrame, policy: Column) -> DataFrame:
@@ -80,20 +81,39 @@ def browse(assets: DataFrame, path: str, under: str) -> DataFrame:
     return rows.groupBy(F.split(path, "/")[depth].alias("name")).agg(F.count("*").alias("n"))
 
 
-def closure(edges: DataFrame, start: DataFrame, keep, most: int = 100) -> DataFrame:
-    """``node, step``: everything reached from ``start`` over (src, dst), each node once, so that cycles end.
+#: Jumps may be so many times as many as edges; beyond that they aren't lengthened further.
+MOST_JUMPS = 4
 
-    Each round joins only the nodes that are new and writes only these; the rounds are put together at the end.
+
+def closure(edges: DataFrame, start: DataFrame, keep) -> DataFrame:
+    """``node, step``: everything reached from ``start`` over (src, dst) with the least number of steps, whatever the depth.
+
+    Path doubling: jumps of 1, 2, 4, ... edges.  When all nodes of fewer than 2^k steps are known, their jumps of 2^k edges
+    give those of fewer than 2^(k+1), so that the rounds grow with the logarithm of the depth.  Cycles end, as each node is
+    taken once.  Where paths branch and meet so often that longer jumps would outgrow the edges ``MOST_JUMPS`` times, jumps
+    stay as long as they are, and each round goes on from the nodes that the last one found.  A round writes only the new
+    nodes and jumps.
     """
-    edges = keep(edges.select("src", "dst").distinct())
-    rounds = [keep(start.select("node", F.lit(0).alias("step")).distinct())]
-    for step in range(1, most + 1):
-        front, seen = rounds[-1].select(F.col("node").alias("src")), reduce(DataFrame.union, rounds)
-        new = keep(edges.join(front, "src").select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti").select("node", F.lit(step).alias("step")))
+    jumps = keep(edges.select("src", "dst").filter("src is not null and dst is not null").distinct())
+    most, length = MOST_JUMPS * jumps.count(), 1
+    found = [keep(start.select("node", F.lit(0).cast("long").alias("step")).distinct())]
+    doubling = True
+    while True:
+        seen = reduce(DataFrame.union, found)
+        front = seen if doubling else found[-1]
+        reached = front.withColumnRenamed("node", "src").join(jumps, "src").groupBy(F.col("dst").alias("node")).agg((F.min("step") + length).alias("step"))
+        new = keep(reached.join(seen, "node", "left_anti"))
         if new.isEmpty():
-            return seen
-        rounds.append(new)
-    raise ValueError(f"more than {most} steps")
+            return seen.withColumn("step", F.col("step").cast("int"))
+        found.append(new)
+        if doubling:
+            longer = keep(jumps.join(jumps.select(F.col("src").alias("dst"), F.col("dst").alias("end")), "dst").select("src", F.col("end").alias("dst")).distinct())
+            n = longer.count()
+            if not n:
+                return reduce(DataFrame.union, found).withColumn("step", F.col("step").cast("int"))
+            doubling = n <= most
+            if doubling:
+                jumps, length = longer, 2 * length
 
 
 def patch_lineage(edges: DataFrame, add: DataFrame, remove: DataFrame, dry_run: bool = False) -> DataFrame:
@@ -124,10 +144,11 @@ def verify_figures(claims: DataFrame, cells: DataFrame, tolerance: float = 0.005
     """``claim_id, status``: verified if a cell has the figure, derived if a sum, difference or ratio of two cells has.
 
     ``claims`` (claim_id, figure) and ``cells`` (cell, amount) are the figures of one report and its result tables.
-    Figures meet cells by rounded value, not pair by pair.  Over ``MAX_CELLS`` cells are refused: they are no report's.
+    Figures meet cells by rounded value, not pair by pair.  Over ``MAX_CELLS`` cells or ``MAX_CLAIMS`` claims are refused: they are no report's.
     """
-    if (n := cells.limit(MAX_CELLS + 1).count()) > MAX_CELLS:
-        raise ValueError(f"at least {n} cells, where a report has at most {MAX_CELLS}")
+    for rows, most, what in ((cells, MAX_CELLS, "cells"), (claims, MAX_CLAIMS, "claims")):
+        if rows.limit(most + 1).count() > most:
+            raise ValueError(f"more than {most} {what}, where a report has at most that many")
     near = lambda a, b: F.abs(a - b) <= tolerance
     grid = lambda c: F.floor(c / tolerance).cast("long")
     spread = claims.select("claim_id", "figure", F.explode(F.array(grid(F.col("figure")) - 1, grid(F.col("figure")), grid(F.col("figure")) + 1)).alias("g"))

@@ -437,12 +437,11 @@ def expand(start: DataFrame, edges: DataFrame, steps: int, keep, most: int = 8)
     """
     from pyspark.sql import Window
 
-    seen = keep(start.select("node", F.lit(0).alias("step")))
+    rounds = [keep(start.select("node", F.lit(0).alias("step")).distinct())]
     # The neighbours an expansion may show don't depend on the step, so they are ranked once.
     ranked = edges.select("src", "dst").distinct().withColumn("_r", F.row_number().over(Window.partitionBy("src").orderBy("dst"))).filter(F.col("_r") <= most)
     near = keep(ranked.select("src", "dst"))
     for step in range(1, steps + 1):
-        front = seen.filter(F.col("step") == step - 1).select(F.col("node").alias("src"))
-        reached = near.join(front, "src").select(F.col("dst").alias("node")).distinct()
-        seen = keep(seen.union(reached.join(seen, "node", "left_anti").select("node", F.lit(step).alias("step"))))
-    return seen
+        reached = near.join(rounds[-1].select(F.col("node").alias("src")), "src").select(F.col("dst").alias("node")).distinct()
+        rounds.append(keep(reached.join(reduce(DataFrame.union, rounds), "node", "left_anti").withColumn("step", F.lit(step))))
+    return reduce(DataFrame.union, rounds)

@@ -10,6 +10,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import keep
+
+#: Below so many distinct values a theta sketch of 4096 entries holds them all; above, its error is about 2 percent.
+SURE, SKETCH_ERROR = 3500, 0.1
+
 
 def _result(failing: DataFrame, check: str, target: str, key: Column | None = None) -> DataFrame:
     sample = F.min((key if key is not None else F.lit(None)).cast("string"))
@@ -81,11 +86,51 @@ def latest_status(history: DataFrame) -> DataFrame:
     return history.groupBy("check", "target").agg(F.max_by(F.struct("run", "passed", "failing_rows"), "run").alias("_r"), F.count_if(~F.col("passed")).alias("times_failed")).select("check", "target", "_r.*", "times_failed")
 
 
-def profile(rows: DataFrame) -> DataFrame:
-    """One pass over all columns: ``column, n_rows, n_nulls, n_distinct, low, high, is_key``."""
-    names = rows.columns
-    parts = [F.struct(F.lit(c).alias("column"), F.count("*").alias("n_rows"), F.count_if(F.col(c).isNull()).alias("n_nulls"), F.count_distinct(c).alias("n_distinct"), F.min(c).cast("string").alias("low"), F.max(c).cast("string").alias("high")) for c in names]
-    return rows.agg(F.array(*parts).alias("p")).select(F.explode("p").alias("p")).select("p.*").withColumn("is_key", (F.col("n_nulls") == 0) & (F.col("n_distinct") == F.col("n_rows")))
+def sketches(rows: DataFrame, columns: list[str], table: str = "") -> DataFrame:
+    """One row for each column, in one pass: ``table, column, n_rows, n_nulls, estimate, low, high, sketch``.
+
+    The sketch is a theta sketch of the values, some kilobytes whatever the table; its estimate of the distinct values is
+    exact below ``SURE``.
+    """
+
+    def one(name: str) -> Column:
+        c, kind = F.col(name), rows.schema[name].dataType.typeName()
+        if kind not in ("long", "integer"):  # as text that is never empty, which a sketch would pass over
+            c = F.concat(F.lit("="), (c + F.lit(0.0) if kind in ("double", "float") else c).cast("string"))
+        return F.struct(F.lit(table).alias("table"), F.lit(name).alias("column"), F.count("*").alias("n_rows"), F.count_if(F.col(name).isNull()).alias("n_nulls"), F.min(name).cast("string").alias("low"), F.max(name).cast("string").alias("high"), F.theta_sketch_agg(c).alias("sketch"))
+
+    return rows.agg(F.array(*[one(c) for c in columns]).alias("p")).select(F.explode("p").alias("p")).select("p.*").withColumn("estimate", F.theta_sketch_estimate("sketch"))
+
+
+def _distinct(tables: dict[str, DataFrame], found: list, wanted) -> dict:
+    """Distinct values by table and column: of those ``wanted`` exactly, each counted by a pass that reads it alone."""
+    counts, out = {(r["table"], r["column"]): r["estimate"] for r in found}, None
+    for r in found:
+        if r["estimate"] >= SURE and wanted(r):
+            values = tables[r["table"]].select(r["column"]).filter(F.col(r["column"]).isNotNull()).distinct()
+            one = values.agg(F.lit(r["table"]).alias("table"), F.lit(r["column"]).alias("column"), F.count("*").alias("n"))
+            out = one if out is None else out.union(one)
+    return counts if out is None else counts | {(r["table"], r["column"]): r["n"] for r in out.collect()}  # one row a column
+
+
+def profile(rows: DataFrame, every: bool = True) -> DataFrame:
+    """``column, n_rows, n_nulls, n_distinct, low, high, is_key`` of each column.
+
+    One pass sketches all columns.  Those with few values are counted exactly by that; the distinct values of each other
+    one are counted by a pass that reads this column alone, so that no row is repeated for each column.  With ``every``
+    False only columns that can be keys are counted so, and the others have their estimate.
+    """
+    found = keep(sketches(rows, rows.columns), "sketches")
+    seen = found.select("table", "column", "n_rows", "n_nulls", "estimate").collect()  # one row a column
+    exact = _distinct({"": rows}, seen, lambda r: every or _may_be_key(r))
+    n_distinct = rows.sparkSession.createDataFrame([(c, n) for (_, c), n in exact.items()], "column string, n_distinct long")
+    out = found.join(F.broadcast(n_distinct), "column")
+    return out.select("column", "n_rows", "n_nulls", "n_distinct", "low", "high", ((F.col("n_nulls") == 0) & (F.col("n_distinct") == F.col("n_rows"))).alias("is_key"))
+
+
+def _may_be_key(r) -> bool:
+    """Whether a column can be one without repeats and nulls, as far as its sketch tells (its error is about 2 percent)."""
+    return r["n_nulls"] == 0 and r["estimate"] >= 0.9 * r["n_rows"]
 
 
 def join_profile(left: DataFrame, right: DataFrame, on: list[tuple[str, str]]) -> DataFrame:
@@ -102,19 +147,37 @@ def join_profile(left: DataFrame, right: DataFrame, on: list[tuple[str, str]]) -
 def automap(tables: dict[str, DataFrame], threshold: float = 1.0) -> DataFrame:
     """Suggested references: columns whose distinct values lie in a key of another table.
 
-    Values are compared as hashes of their text; only columns of whole numbers are tried.  ``key_table, key_column`` is a
-    column without repeats or nulls.
+    Only columns of whole numbers are tried.  ``key_table, key_column`` is a column without repeats or nulls.  One pass
+    over each table sketches its columns.  Columns that can't be keys, and pairs whose sketches differ by more than the
+    threshold lets them, drop out: where all of a column's values lie in a key, the sketch of their difference is empty.
+    The keys and pairs that are left are verified on their values.
     """
-    parts, keys = None, None
+    found, spark = None, next(iter(tables.values())).sparkSession
     for name, rows in tables.items():
         columns = [f.name for f in rows.schema if f.dataType.typeName() in ("long", "integer")]
-        values = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.xxhash64(F.col(c).cast("string")).alias("h"), F.col(c).isNull().alias("void")) for c in columns]))
-        long = rows.select(F.lit(name).alias("table"), values.alias("v")).select("table", "v.column", F.when(~F.col("v.void"), F.col("v.h")).alias("h"))
-        parts = long if parts is None else parts.union(long)
-    counted = parts.groupBy("table", "column", "h").agg(F.count("*").alias("n"))
-    keys = counted.groupBy("table", "column").agg(F.max("n").alias("most"), F.count_if(F.col("h").isNull()).alias("nulls")).filter("most = 1 and nulls = 0").select(F.col("table").alias("key_table"), F.col("column").alias("key_column"))
-    values = counted.filter("h is not null").select("table", "column", "h")
-    totals = values.groupBy("table", "column").agg(F.count("*").alias("n_values"))
-    key_values = values.withColumnsRenamed({"table": "key_table", "column": "key_column"}).join(F.broadcast(keys), ["key_table", "key_column"])  # one row a column
-    shared = values.join(key_values, "h").filter("table <> key_table").groupBy("table", "column", "key_table", "key_column").agg(F.count("*").alias("n_shared"))
-    return shared.join(F.broadcast(totals), ["table", "column"]).filter(F.col("n_shared") >= threshold * F.col("n_values")).select("table", "column", "key_table", "key_column", "n_values")
+        if columns:
+            part = sketches(rows.select(*[F.col(c).cast("long").alias(c) for c in columns]), columns, name)
+            found = part if found is None else found.unionByName(part)
+    result = "table string, column string, key_table string, key_column string, n_values long"
+    if found is None:
+        return spark.createDataFrame([], result)
+    found = keep(found, "sketches")
+    seen = found.select("table", "column", "n_rows", "n_nulls", "estimate").collect()  # one row a column
+    exact = _distinct(tables, seen, _may_be_key)
+    keys = [(r["table"], r["column"]) for r in seen if _may_be_key(r) and exact[r["table"], r["column"]] == r["n_rows"] > 0]
+    if not keys:
+        return spark.createDataFrame([], result)
+    own = found.filter("estimate > 0").select("table", "column", "estimate", "sketch", F.lit("whole").alias("kind"))
+    of_key = found.join(F.broadcast(spark.createDataFrame(keys, "table string, column string")), ["table", "column"]).select(F.col("table").alias("key_table"), F.col("column").alias("key_column"), F.col("sketch").alias("key_sketch"), F.lit("whole").alias("kind"))
+    missing = F.theta_sketch_estimate(F.theta_difference("sketch", "key_sketch")) / F.col("estimate")
+    near = missing <= (0.0 if threshold >= 1 else 1 - threshold + SKETCH_ERROR)
+    pairs = own.join(of_key, "kind").filter((F.col("table") != F.col("key_table")) & near).select("table", "column", "key_table", "key_column").collect()  # a few a column
+    out = None
+    for t, c, kt, kc in pairs:
+        values = tables[t].select(F.col(c).cast("long").alias("v")).filter("v is not null").distinct()
+        key = tables[kt].select(F.col(kc).cast("long").alias("v"), F.lit(1).alias("hit"))
+        one = values.join(key, "v", "left").agg(F.lit(t).alias("table"), F.lit(c).alias("column"), F.lit(kt).alias("key_table"), F.lit(kc).alias("key_column"), F.count("*").alias("n_values"), F.count("hit").alias("n_shared"))
+        out = one if out is None else out.union(one)
+    if out is None:
+        return spark.createDataFrame([], result)
+    return out.filter((F.col("n_values") > 0) & (F.col("n_shared") >= threshold * F.col("n_values"))).drop("n_shared")

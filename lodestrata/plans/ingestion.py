@@ -80,7 +80,8 @@ def i_cdc_hard(s, d):
 query("i_current_state", f"select * exclude (_op_type) from {CDC}")(lambda s, d: I.latest(log_rows(s, d).drop("op"), ["user_id"], ["ts", "seq"]))
 
 
-@query("i_checkpoint")
+@query("i_checkpoint", """with d as (select distinct cast(o_orderdate as date) as day from orders order by 1 limit 12)
+  select cast(row_number() over (order by day) as integer) as run, cast(day as varchar) as watermark from d qualify run > 2""")
 def i_checkpoint(s, d):
     """Twelve runs, of which the last ten stay; a failed run leaves nothing."""
     state = I.State(s, new_path(s, "state"))
