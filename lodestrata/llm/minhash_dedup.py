@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from .components import components, parts_of, pivot_tiles, runs, stray_tiles
 from .shared import blobs, keep, lean, local_components, meet, padded, small_batches, steps
+from .words import binary_array
 
 WORDS = 5
 BANDS, BAND_ROWS = 20, 5
@@ -37,9 +38,7 @@ TILE_ROWS, TILE_SHINGLES = 512, 500_000
 SMALL_ROWS = 400_000
 
 _draw = np.random.default_rng(20240601)
-BYTE_VALUE = _draw.integers(1, 1 << 63, 256, dtype=np.uint64)
 POWER = np.uint64(0x9E3779B97F4A7C15 | 1)
-INVERSE = np.uint64(pow(int(POWER), -1, 1 << 64))
 SHINGLE_FACTORS = _draw.integers(1, 1 << 63, (WORDS + 1, WORDS), dtype=np.uint64) | np.uint64(1)
 FACTORS = _draw.integers(1, 1 << 63, HASHES, dtype=np.uint64) | np.uint64(1)
 OFFSETS = _draw.integers(1, 1 << 63, HASHES, dtype=np.uint64)
@@ -55,6 +54,20 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def word_hashes(buffer: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64 bits of each word's BLAKE2; each distinct word is hashed once.
+
+    Sums over letters would be faster, but have words that always collide, and links are confirmed on these hashes.
+    """
+    inside = np.zeros(len(buffer) + 1, np.int8)
+    inside[begin] = 1
+    inside[end] = -1
+    data = LOWER[buffer[np.cumsum(inside[:-1], dtype=np.int8) > 0]]
+    encoded = binary_array(data, np.append(0, np.cumsum(end - begin))).dictionary_encode()
+    each = b"".join([hashlib.blake2b(w, digest_size=8).digest() for w in encoded.dictionary.to_pylist()])
+    return np.frombuffer(each or bytes(8), np.uint64)[encoded.indices.to_numpy()]
+
+
 def shingle_sets(parts: list[bytes]) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     out: list[np.ndarray] = []
@@ -63,15 +76,7 @@ def shingle_sets(parts: list[bytes]) -> list[np.ndarray]:
         blank = BLANK[buffer]
         begin = np.flatnonzero(~blank[1:] & blank[:-1]) + 1
         end = np.flatnonzero(blank[1:] & ~blank[:-1]) + 1
-        powers = np.empty(len(buffer), np.uint64)
-        powers[0], powers[1:] = 1, POWER
-        np.cumprod(powers, out=powers)
-        sums = np.zeros(len(buffer) + 1, np.uint64)
-        np.cumsum(BYTE_VALUE[LOWER[buffer]] * powers, out=sums[1:])
-        inverse = np.empty(len(buffer), np.uint64)
-        inverse[0], inverse[1:] = 1, INVERSE
-        np.cumprod(inverse, out=inverse)
-        word = _mix((sums[end] - sums[begin]) * inverse[begin])  # a word's hash doesn't depend on where it stands
+        word = word_hashes(buffer, begin, end)
         at = np.searchsorted(begin, np.append(starts, len(buffer)))
         count = max(0, len(word) - WORDS + 1)
         five = np.zeros(count, np.uint64)

@@ -371,3 +371,27 @@ def test_pipeline_edges(spark, small):
                 assert now.filter("doc_id is null").count() == 2  # never dropped as copies
         assert CP.STAGES[-1][1](spark, now, small).count() == now.count()
     assert now.count() == 0
+
+
+def thue_morse(n, swap=False):
+    """A word of 2 ** n letters that sums over letters modulo 2 ** 64 can't tell from its complement."""
+    word = "b" if swap else "a"
+    for _ in range(n):
+        word += word.translate({97: 98, 98: 97})
+    return word
+
+
+def test_words_that_collide_in_sums_over_letters(spark):
+    one, other = thue_morse(11), thue_morse(11, True)
+    texts = [one, other, f"{one} b c d e f", f"{other} b c d e f", "", "A\tb\rc", "a b c"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in MD.near_copies(rows).collect()} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 5}
+
+
+def test_very_long_texts_near_one_another(spark):
+    """Texts of a million words, one changed in a hundredth of them."""
+    words = [f"w{i % 9973}x{i // 7}" for i in range(1_000_000)]
+    changed = words.copy()
+    changed[::600] = ["new"] * len(changed[::600])
+    rows = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(changed)), (3, " ".join(words[::-1]))], "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in MD.near_copies(rows).collect()} == {1: 1, 2: 1, 3: 3}
