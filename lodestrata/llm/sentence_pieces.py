@@ -6,7 +6,8 @@ agenda is an array of the scores in the order of the text, whose maximum is foun
 back to their bytes.  No piece of such a vocabulary has the space mark behind another character or a line end beside one,
 so that a run of space marks, or a line end, is encoded alone with what follows it.  Signs that no piece has behind a
 letter are cut from the words before them.  Each chunk that a worker hasn't met yet is encoded and decoded here and, in
-the same Arrow batch, by the sentencepiece library; where the two disagree the job fails.
+the same Arrow batch, by the sentencepiece library; where the two disagree the job fails.  The joined ids of each whole
+text are then decoded by the library.
 """
 
 from __future__ import annotations
@@ -173,7 +174,7 @@ def decode_ids(ids: list[int], vocabulary: Vocabulary, begins: bool = True) -> s
 class Encoder:
     """Encodes batches of texts and remembers chunks: when the memory is full, those not met again since it was last full go.
 
-    A chunk's ids are remembered as text, and with them what they decode to where that isn't the chunk itself.
+    A chunk's ids are remembered as text.  The library decodes the joined ids of each whole text.
     """
 
     def __init__(self, model: bytes):
@@ -181,22 +182,21 @@ class Encoder:
 
         self.vocabulary = read_vocabulary(model)
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.known: dict[str, str | tuple[str, str]] = {}
-        self.older: dict[str, str | tuple[str, str]] = {}
+        self.known: dict[str, str] = {}
+        self.older: dict[str, str] = {}
         signs = [s for s in SIGNS if not any(re.search(f"[A-Za-z]{re.escape(s)}", p) for p in self.vocabulary.number)]
         self.tail = re.compile(rf"(?<=[A-Za-z])([{re.escape(''.join(signs))}]+)(?=[ \n]|\Z)") if signs else re.compile("(?!)()")
         self.numeral = [str(i) for i in range(len(self.vocabulary.pieces))]
-        self.plain = [p.replace(SPACE, " ") if t == NORMAL else None for p, t in zip(self.vocabulary.pieces, self.vocabulary.types, strict=True)]
+        self.value = {n: i for i, n in enumerate(self.numeral)}
 
-    def _learn(self, chunks: list[str]) -> dict[str, str | tuple[str, str]]:
+    def _learn(self, chunks: list[str]) -> dict[str, str]:
         """Chunks are given without their first space mark; line ends and signs that were cut have none.
 
         The library begins with a space mark; signs are given to it behind a letter.
         """
         checks = self.library.encode(["a" + c[1:] if c[:1] == CUT else c for c in chunks], num_threads=1)
-        vocabulary, numeral, plain = self.vocabulary, self.numeral, self.plain
-        new, mark, letter = {}, encode_chunk(SPACE, vocabulary), encode_chunk(SPACE + "a", vocabulary)
-        every, decoded = [], []
+        vocabulary, numeral = self.vocabulary, self.numeral
+        new, every, mark, letter = {}, [], encode_chunk(SPACE, vocabulary), encode_chunk(SPACE + "a", vocabulary)
         for chunk, check in zip(chunks, checks, strict=True):
             if chunk[:1] == "\n":
                 ids, check = encode_chunk(chunk, vocabulary), check[len(mark) :]
@@ -206,14 +206,11 @@ class Encoder:
                 ids = encode_chunk(SPACE + chunk, vocabulary)
             if chunk and ids != check:  # the library drops an empty text, which is a chunk of one mark here
                 raise ValueError(f"agenda and library disagree on the ids of {chunk!r}")
-            texts = [plain[i] for i in ids]
+            new[chunk] = ",".join([numeral[i] for i in ids])
             every.append(ids)
-            decoded.append(decode_ids(ids, vocabulary, begins=False) if None in texts else "".join(texts))
-        for chunk, ids, own, check in zip(chunks, every, decoded, self.library.decode(every), strict=True):
-            if check != (own[1:] if own[:1] == " " else own):
-                raise ValueError(f"decoding here and by the library disagree on {chunk!r}")
-            written = ",".join([numeral[i] for i in ids])
-            new[chunk] = written if own == self._text(chunk) else (written, own)
+        for ids, check in zip(every, self.library.decode(every, num_threads=1), strict=True):
+            if check != decode_ids(ids, vocabulary):
+                raise ValueError(f"decoding here and by the library disagree on {ids}")
         return new
 
     def chunks(self, text: str) -> list[str]:
@@ -225,6 +222,10 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """Number of ids, ids joined by commas, and decoded text of each text."""
+        return self.decode(self.ids(texts))
+
+    def ids(self, texts: list[str]) -> list[str]:
+        """The ids of each text, joined by commas."""
         cut = [self.chunks(t) for t in texts]
         new = set().union(*cut).difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
@@ -234,22 +235,18 @@ class Encoder:
         again = {c: older[c] for c in new if c in older}
         self.known.update(again)
         self.known.update(self._learn(list(new.difference(again))))
-        get, out = self.known.__getitem__, []
-        for text, own in zip(texts, cut, strict=True):
-            found = list(map(get, own))
-            try:
-                ids, decoded = ",".join(found), text.replace(SPACE, " ")  # what the ids of every chunk decode to
-            except TypeError:
-                ids = ",".join([x if type(x) is str else x[0] for x in found])
-                decoded = "".join([self._text(k) if type(x) is str else x[1] for k, x in zip(own, found, strict=True)])[1:]
-            out.append((ids.count(",") + 1 if ids else 0, ids, decoded))
+        get = self.known.__getitem__
+        out = [",".join(map(get, own)) for own in cut]
         for chunk in new:
             if len(chunk) > LONGEST:
                 del self.known[chunk]
         return out
 
-    def _text(self, chunk: str) -> str:
-        return chunk[1:] if chunk[:1] == CUT else chunk if chunk[:1] == "\n" else " " + chunk
+    def decode(self, ids: list[str]) -> list[tuple[int, str, str]]:
+        """Number of ids, the ids, and the text that the library decodes from them, for each text's ids."""
+        value = self.value.__getitem__
+        numbers = [list(map(value, x.split(","))) if x else [] for x in ids]
+        return list(zip(map(len, numbers), ids, self.library.decode(numbers, num_threads=1), strict=True)) if numbers else []
 
 
 def piece_columns(spark, model: bytes):

@@ -236,6 +236,24 @@ def test_disagreement_is_refused():
         wrong.encode(["the other then"])
 
 
+def test_decoded_text_follows_the_ids(encoder):
+    """The decoded text is what the ids say, not the text that was encoded."""
+    (n, ids, decoded), (_, other, _) = encoder.encode(["the other then", "a quite different one"])
+    assert encoder.decode([ids, other, ""]) == [(n, ids, decoded), (len(other.split(",")), other, "a quite different one"), (0, "", "")]
+    changed = ",".join([other.split(",")[0], *ids.split(",")[1:]])
+    assert encoder.decode([changed])[0][2] == encoder.library.decode([int(i) for i in changed.split(",")]) != decoded
+
+
+def test_very_long_and_repeated_texts(spark):
+    long = " ".join(f"word{i % 5000}, Ä{i}" for i in range(300_000)) + " " + "x" * 20_000
+    rows = spark.createDataFrame([(1, long), (1, long), (2, "same"), (2, "same"), (2, None)], "doc_id long, text string")
+    out = SP.encode_pieces(rows, MODEL).collect()
+    library = SP.Encoder(MODEL).library
+    ids = library.encode(long)
+    assert [(r["n_tokens"], r["ids"] == ",".join(map(str, ids)), r["decoded"] == library.decode(ids)) for r in out if r["doc_id"] == 1] == [(len(ids), True, True)] * 2
+    assert sorted(r["decoded"] for r in out if r["doc_id"] == 2) == ["", "same", "same"]
+
+
 def test_piece_query(spark, encoder):
     docs = spark.createDataFrame(list(enumerate(WEIRD[:5] + ["word " * 500])), "doc_id long, text string").withColumn("ids", F.lit(1))
     for row in SP.digest_pieces(SP.encode_pieces(docs, MODEL)).collect():
