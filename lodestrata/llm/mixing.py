@@ -27,8 +27,9 @@ from .shared import keep, local_rows, small_batches
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
 BLOCK_WORDS = 128
-#: About how many slots a shard has; shards of a group; slots that one task's step numbers at once.
-SHARD_SLOTS, GROUP_SHARDS, CHUNK_SLOTS = 1 << 16, 1 << 10, 1 << 13
+#: About how many slots a shard has at most, and how many shards a smaller mix is dealt to; shards of a group; slots, or
+#: equal rows, that one task's step numbers at once.
+SHARD_SLOTS, LEAST_SHARDS, GROUP_SHARDS, CHUNK_SLOTS = 1 << 16, 64, 1 << 10, 1 << 13
 #: Documents of a bucket, and buckets of a stretch, in which running sums are made.
 DOCS_A_BUCKET, BUCKETS_A_STRETCH = 500, 500
 WORD = r"[^\x20\x09-\x0D]+"
@@ -151,9 +152,14 @@ def _spread(s: int, parts: np.ndarray, first: int, counts: np.ndarray) -> pa.Rec
 _DRAWN = "s int, part long, first long, n long"
 
 
+def shards_of(slots: int, shard_slots: int = SHARD_SLOTS) -> int:
+    """Shards of a mix of so many slots: as many as shards of that size need, and some tens if there are slots for them."""
+    return max(1, -(-slots // shard_slots), min(LEAST_SHARDS, slots // 16))
+
+
 def plan_shards(spark, sources: list[Source], seed: int, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """``s, part, first, n``: which slots of each source are in each shard (part); drawn on the executors."""
-    n_shards = max(1, -(-sum(s.slots for s in sources) // shard_slots))
+    n_shards = shards_of(sum(s.slots for s in sources), shard_slots)
     table = local_rows(spark, "s int, slots long", [(i, s.slots) for i, s in enumerate(sources) if s.slots])
     groups = table.repartition("s").mapInArrow(draw_groups(n_shards, seed), _DRAWN)
     return groups.repartition("s", "part").mapInArrow(draw_shards(n_shards, seed), _DRAWN)
@@ -179,9 +185,12 @@ class Mix:
         return rows.select("s", "block", "row_key", "doc_id", "begin", "size", (low - F.col("begin")).alias("from_word"), (low - edge).alias("at"), (high - low).alias("words"))
 
     def drawn(self) -> DataFrame:
-        """How often each fragment is taken whole (``times``), and of how many of its words one slot more takes the first (``first_words``)."""
+        """How often each fragment is taken whole (``times``), and of how many of its words one slot more takes the first (``first_words``).
+
+        ``places`` is a digest of the shards and slots that its block has.
+        """
         whole = F.col("limit") == BLOCK_WORDS
-        counts = self.slots.groupBy("s", "block").agg(F.count_if(whole).alias("times"), F.coalesce(F.max(F.when(~whole, F.col("limit"))), F.lit(0)).alias("part"))
+        counts = self.slots.groupBy("s", "block").agg(F.bit_xor(F.xxhash64("shard", "slot")).alias("places"), F.count_if(whole).alias("times"), F.coalesce(F.max(F.when(~whole, F.col("limit"))), F.lit(0)).alias("part"))
         first = F.greatest(F.lit(0), F.least(F.col("words"), F.col("part") - F.col("at")))
         return self.fragments().join(counts, ["s", "block"]).withColumn("first_words", first).drop("part")
 
@@ -194,12 +203,15 @@ class Mix:
         return joined.select("shard", "slot", "source", "block", F.filter(cut, lambda p: p["words"] > 0).alias("parts"))
 
     def taken(self) -> DataFrame:
-        """``doc_id, size, source_size, target, taken`` for every row of the input."""
-        words = self.drawn().groupBy("s", "begin").agg(F.sum(F.col("words") * F.col("times") + F.col("first_words")).alias("taken"))
+        """``doc_id, size, source_size, target, taken, places`` for every row of the input.
+
+        ``places`` is a digest of the shards and slots in which the row's blocks are, 0 for a row that isn't taken.
+        """
+        words = self.drawn().groupBy("s", "begin").agg(F.sum(F.col("words") * F.col("times") + F.col("first_words")).alias("taken"), F.bit_xor("places").alias("places"))
         of = local_rows(self.slots.sparkSession, "s int, source_size long, target double", [(i, s.size, s.target) for i, s in enumerate(self.sources)])
-        full = self.documents.filter("size > 0").join(words, ["s", "begin"], "left").select("doc_id", "s", "size", F.coalesce("taken", F.lit(0)).alias("taken"))
-        none = self.documents.filter("size = 0").select("doc_id", "s", "size", F.lit(0).cast("long").alias("taken"))
-        return full.union(none).join(F.broadcast(of), "s").select("doc_id", "size", "source_size", "target", "taken")
+        full = self.documents.filter("size > 0").join(words, ["s", "begin"], "left").select("doc_id", "s", "size", F.coalesce("taken", F.lit(0)).alias("taken"), F.coalesce("places", F.lit(0)).alias("places"))
+        none = self.documents.filter("size = 0").select("doc_id", "s", "size", F.lit(0).cast("long").alias("taken"), F.lit(0).cast("long").alias("places"))
+        return full.union(none).join(F.broadcast(of), "s").select("doc_id", "size", "source_size", "target", "taken", "places")
 
     def pieces(self) -> DataFrame:
         """What is taken of each row: ``row_key, from_word, words, times``; a whole row has its size as ``words``.
@@ -245,17 +257,24 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     index = local_rows(spark, "s int, name string", [(i, s.name) for i, s in enumerate(sources)])
     buckets = max(1, -(-sum(x[2] for x in found) // DOCS_A_BUCKET))
     bucket = F.pmod(F.xxhash64("row_key", F.lit(seed)), F.lit(buckets))
-    known = thin.join(F.broadcast(index), thin["source"].eqNullSafe(index["name"])).select("row_key", "doc_id", "s", "size", bucket.alias("bucket"))
+    known = thin.join(F.broadcast(index), thin["source"].eqNullSafe(index["name"])).groupBy("row_key", "doc_id", "s", "size").agg(F.count("*").alias("copies"))
+    # Equal rows are one here, whose copies stand side by side, so that no bucket gets all copies of a row.
+    known = keep(known.withColumn("bucket", bucket).withColumn("all", F.col("size") * F.col("copies")), "known")
     # A running sum in three steps: stretches of a source, buckets of a stretch, documents of a bucket.
     stretch = F.expr(f"bucket div {BUCKETS_A_STRETCH}")
-    sums = keep(known.groupBy("s", stretch.alias("stretch"), "bucket").agg(F.sum("size").alias("n")), "bucket-sums")
+    sums = keep(known.groupBy("s", stretch.alias("stretch"), "bucket").agg(F.sum("all").alias("n")), "bucket-sums")
     far = sums.groupBy("s", "stretch").agg(F.sum("n").alias("n"))
     far = far.select("s", "stretch", (F.sum("n").over(Window.partitionBy("s").orderBy("stretch")) - F.col("n")).alias("far"))
     near = F.sum("n").over(Window.partitionBy("s", "stretch").orderBy("bucket")) - F.col("n")
     base = sums.select("s", "stretch", "bucket", near.alias("near")).join(far, ["s", "stretch"]).select("s", "bucket", (F.col("near") + F.col("far")).alias("base"))
-    inside = F.sum("size").over(Window.partitionBy("s", "bucket").orderBy("row_key").rowsBetween(Window.unboundedPreceding, -1))
+    inside = F.sum("all").over(Window.partitionBy("s", "bucket").orderBy("row_key").rowsBetween(Window.unboundedPreceding, -1))
     placed = known.withColumn("inside", F.coalesce(inside, F.lit(0))).join(base, ["s", "bucket"])
-    documents = keep(placed.select("row_key", "doc_id", "s", "size", (F.col("base") + F.col("inside")).alias("begin")), "placed")
+    placed = placed.withColumn("from", F.explode(F.expr(f"sequence(0L, copies - 1, {CHUNK_SLOTS}L)")))
+    if (known.agg(F.max("copies")).first()[0] or 0) > CHUNK_SLOTS:
+        placed = placed.repartition("row_key", "from")
+    copy = F.explode(F.expr(f"sequence(from, least(copies, from + {CHUNK_SLOTS}) - 1)")).alias("copy")
+    placed = placed.select("row_key", "doc_id", "s", "size", "base", "inside", copy)
+    documents = keep(placed.select("row_key", "doc_id", "s", "size", (F.col("base") + F.col("inside") + F.col("copy") * F.col("size")).alias("begin")), "placed")
     counts = plan_shards(spark, sources, seed)
     chunk = counts.withColumn("from", F.explode(F.expr(f"sequence(0L, n - 1, {CHUNK_SLOTS}L)"))).repartition("s", "first", "from")
     slot = chunk.select(F.col("part").alias("shard"), "s", F.explode(F.expr(f"sequence(first + from, first + least(n, from + {CHUNK_SLOTS}) - 1)")).alias("k"))

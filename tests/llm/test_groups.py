@@ -395,3 +395,31 @@ def test_very_long_texts_near_one_another(spark):
     changed[::600] = ["new"] * len(changed[::600])
     rows = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(changed)), (3, " ".join(words[::-1]))], "doc_id long, text string")
     assert {r["doc_id"]: r["component_id"] for r in MD.near_copies(rows).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_shards_follow_the_draw(spark):
+    """Small mixes too have many shards; each slot's shard is the drawn one, and another seed draws and places anew."""
+    rows, docs = mixed_docs(spark)
+    plan, other = MX.mix(docs), MX.mix(docs, seed=8)
+    slots = plan.slots.collect()
+    shards = MX.shards_of(sum(s.slots for s in plan.sources))
+    assert 16 < shards == len({r["shard"] for r in slots})
+    drawn = {(r["s"], r["part"]): r["n"] for r in MX.plan_shards(spark, plan.sources, 7).collect()}
+    assert Counter((r["s"], r["shard"]) for r in slots) == Counter(drawn)
+    assert Counter((r["s"], r["shard"]) for r in other.slots.collect()) != Counter(drawn)
+    first, second = ({(r["doc_id"], r["size"]): r["places"] for r in p.taken().collect()} for p in (plan, other))
+    assert sum(first[k] != second[k] for k in first) > len(first) / 2 and all(p == 0 for (_, n), p in first.items() if not n)
+    assert [MX.shards_of(n) for n in (0, 15, 16, 320, 10**4, 10**7)] == [1, 1, 1, 20, 64, 153]
+
+
+def test_a_row_with_a_third_of_all_copies(spark, monkeypatch):
+    """Copies of a row stand side by side; each is a document with a place of its own."""
+    monkeypatch.setattr(MX, "CHUNK_SLOTS", 100)
+    rows = [(None, "the same words again", "a")] * 3000 + [(i, f"text {i} of the others", "ab"[i % 2]) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = MX.mix(docs)
+    taken = plan.taken().collect()
+    assert len(taken) == 6000 and sum(r["doc_id"] is None for r in taken) == 3000
+    spans = sorted((r["s"], r["begin"], r["size"]) for r in plan.documents.collect())
+    assert all(a[1] + a[2] == b[1] for a, b in zip(spans, spans[1:]) if a[0] == b[0])
+    assert sum(r["taken"] for r in taken) == sum(s.words for s in plan.sources)
