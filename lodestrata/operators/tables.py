@@ -140,9 +140,10 @@ class ChangeLog:
         ``matched`` gives the new values by columns of the source as s_*; by default the source's columns are taken and
         those that it lacks stay.
         """
-        twice = source.groupBy(*self.key).count().filter("count > 1").limit(1).collect()
+        keys = source.groupBy(*self.key).agg(F.count("*").alias("_n"))
+        n_rows, twice = keys.agg(F.sum("_n"), F.max_by(F.struct(*self.key), F.when(F.col("_n") > 1, F.col("_n")))).first()
         if twice:
-            raise ValueError(f"the source has several rows of {twice[0].asDict()}")
+            raise ValueError(f"the source has several rows of {twice.asDict()}")
         have = [c for c in source.columns if c in self.schema.names]
         right = source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns])
         here = F.col("_here").isNotNull()
@@ -158,6 +159,8 @@ class ChangeLog:
 
         def make(version: int) -> tuple[DataFrame, None]:
             left = self.read(version).withColumn("_here", F.lit(True))
+            if (n_rows or 0) <= SMALL_ROWS:  # find the rows that change where they lie: the table isn't shuffled
+                left = left.join(F.broadcast(source.select(*self.key)), self.key, "left_semi")
             joined = right.join(left, reduce(Column.__and__, [left[k] == right[f"s_{k}"] for k in self.key]), "left")
             return joined.select(*[value(c) for c in self.schema.names], op.alias("_op"), here.alias("_h")).filter("_op <> 'D' or _h"), None
 

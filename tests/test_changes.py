@@ -158,3 +158,20 @@ def test_compaction_of_one_folder(spark):
     assert T.compact(spark, path, to, 100).count() == 0  # no file is too small
     assert [r["files_after"] for r in T.compact(spark, path, to, 1 << 20).collect()] == [1]
     assert rows_of(spark.read.parquet(to)) == rows_of(spark.range(1000))
+
+
+def test_a_small_merge_finds_its_rows_where_they_lie(spark):
+    """The table's rows meet a broadcast of the changed keys before anything is shuffled."""
+    log = T.ChangeLog.create(spark.range(1000).select(F.col("id").alias("k"), F.lit("a").alias("v")), ["k"], "2024-01-01 00:00:00")
+    plans, commit = [], log._commit
+
+    def seen(make, *rest):
+        plans.append(make(1)[0]._jdf.queryExecution().executedPlan().toString())
+        return commit(make, *rest)
+
+    log._commit = seen
+    log.merge(spark.createDataFrame([(5, "b"), (2000, "c")], "k long, v string"), "2024-01-02 00:00:00")
+    assert "LeftSemi" in plans[0] and "BroadcastHashJoin" in plans[0] and "SortMergeJoin [k" not in plans[0].split("LeftSemi")[1]
+    assert log.read().filter("v <> 'a'").count() == 2 and log.read().count() == 1001
+    with pytest.raises(ValueError, match="several rows of {'k': 7}"):
+        log.merge(spark.createDataFrame([(7, "b"), (7, "c"), (8, "d")], "k long, v string"), "2024-01-03 00:00:00")
