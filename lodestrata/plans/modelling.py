@@ -49,14 +49,17 @@ SAT_SQL = """select user_id, {hash} as hash_diff, event_type, ts, event_id from
   where prev is null or prev <> event_type"""
 
 
-@query("dv_sat", SAT_SQL.format(hash=raw("event_type")))
-def dv_sat(s, d):
-    """Two loads, the second with as many late rows as new ones, give what one load of all rows would."""
+def event_history(s, d):
+    """The users' event types after two loads, the second with as many late rows as new ones."""
     rows, history = table(s, d, "events").select("user_id", "event_type", "ts", "event_id"), None
     for half in (1, 0):
         changes = keep(V.splice(history, rows.filter(F.col("event_id") % 2 == half), "user_id", ["event_type"], "ts", "event_id"), "changes")
         history = V.spliced(history, changes, "user_id", "ts", "event_id")
-    return history.filter("changed").drop("changed")
+    return history
+
+
+# Two loads give what one load of all rows would.
+query("dv_sat", SAT_SQL.format(hash=raw("event_type")))(lambda s, d: event_history(s, d).filter("changed").drop("changed"))
 
 
 @query("dv_lsat", f"""with r as (select {h('l_orderkey', 'l_partkey', 'l_suppkey')} as hkey_link, l_returnflag, l_linestatus, l_shipdate, l_linenumber from lineitem),
@@ -68,7 +71,7 @@ def dv_lsat(s, d):
 
 
 RANGES = f"with {M.RANGES_SQL} select *, expiry_date is null as is_current from ranges"
-query("dv_lsate", RANGES)(lambda s, d: V.effectivity(table(s, d, "events"), ["user_id"], ["event_type"], "ts", "event_id"))
+query("dv_lsate", RANGES)(lambda s, d: V.ranges(keep(event_history(s, d).filter("changed"), "points"), ["user_id"], ["event_type"], "ts", "event_id"))
 query("scd2", RANGES)(M.ranges_frame)
 LAST = "select event_id, ts, user_id, event_type, value from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1"
 

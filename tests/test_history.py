@@ -120,3 +120,14 @@ def test_a_satellite_takes_late_rows(spark):
     at = lambda *x: spark.createDataFrame([("h", a, BEGIN + dt.timedelta(hours=t), 1) for t, a in x], ROW)
     first = V.satellite(None, at((10, "A")), "k", ["a"], "ts", "seq")
     assert [(r["a"], r["ts"].hour) for r in V.satellite(first, at((5, "B"), (10, "A"), (11, "A")), "k", ["a"], "ts", "seq").collect()] == [("B", 5)]
+
+
+def test_effectivity_of_a_spliced_history(spark):
+    """Ranges from a history that was loaded backwards are those of all rows."""
+    rows = [(k, random.Random(i).choice("AB"), BEGIN + dt.timedelta(minutes=i), i) for i in range(40) for k in ("x", None)]
+    history = None
+    for lo in (60, 40, 20, 0):
+        changes = keep(V.splice(history, spark.createDataFrame(rows[lo : lo + 20], ROW), "k", ["a"], "ts", "seq"), "changes")
+        history = keep(V.spliced(history, changes, "k", "ts", "seq"), "history")
+    got = V.ranges(history.filter("changed"), ["k"], ["a"], "ts", "seq")
+    assert rows_of(got) == rows_of(V.effectivity(spark.createDataFrame(rows, ROW), ["k"], ["a"], "ts", "seq")) and got.filter("is_current").count() == 2
