@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import discard, keep, meet
+from .shared import discard, keep, meet, tidy
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -49,6 +49,7 @@ def components(edges: DataFrame) -> DataFrame:
         after = keep(_small_star(_large_star(now, mark[0]).distinct(), mark[0]).filter("u <> v").distinct(), "edges")
         discard(now)
         now = after
+        tidy(edges.sparkSession)
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 

@@ -63,6 +63,11 @@ def discard(*frames: DataFrame) -> None:
             at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffles and broadcasts of past rounds, which it does only after a collection of the driver's heap."""
+    spark._jvm.java.lang.System.gc()
+
+
 def meet(rows: DataFrame, side: DataFrame, key: list[str], weight: str, how: str = "inner", total: int | None = None) -> DataFrame:
     """Join ``rows`` with ``side``, which has one row for each key and in ``weight`` how many rows have it.
 
