@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -221,6 +222,43 @@ def test_rate_and_extremes():
         assert abs(np.mean(k * 500 * np.exp(-rate * np.array(best)) <= -np.log(1 - level)) - level) < 0.08
 
 
+def test_toxicity_of_inflected_words(spark):
+    """Toxic stems with endings of their own: no whole word comes back, and clean words begin like them."""
+    draw = random.Random(8)
+    usual = [f"word{i}" for i in range(200)] + ["grab", "kräftig", "kräne"]
+    rows, marks = [], []
+    for i in range(800):
+        words = draw.choices(usual, k=draw.randrange(20, 100))
+        for _ in range(draw.randrange(2, 5) if i % 5 == 0 else 0):
+            words.insert(draw.randrange(len(words)), draw.choice(["grässl", "krätz"]) + "".join(draw.choices("abcdefghi", k=7)))
+        rows.append((i, " ".join(words)))
+        marks.append((i, int(i % 5 == 0)))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int")
+    out = [r for r in T.toxic_passages(docs, T.fit(docs, labels)).collect() if r["held_out"]]
+    caught, clean = ([r["predicted"] == toxic for r in out if (r["doc_id"] % 5 == 0) == toxic] for toxic in (True, False))
+    assert len(caught) > 25 and sum(caught) / len(caught) > 0.95 and sum(clean) / len(clean) > 0.95
+
+
+def test_beginnings():
+    words = ["", "a", "äöü", "abc", "äöüß", "日本語", "x" * 9, "a😀b😀"]
+    for own in (pa.array([w.encode() for w in words], pa.large_binary()), pa.array([b"skip", *[w.encode() for w in words]], pa.large_binary())[1:]):
+        for size in (3, 4, 8):
+            assert [b and b.decode() for b in T.beginnings(own, size).to_pylist()] == [w[:size] if len(w) >= size else None for w in words]
+    broken = [b"\x80\x80abc", b"ab", b"\xbf\xbf\xbf"]  # not UTF-8: no more than the word itself
+    assert all(b is None or w.startswith(b) for w, b in zip(broken, T.beginnings(pa.array(broken, pa.large_binary()), 3).to_pylist(), strict=True))
+    assert T.beginnings(pa.array([], pa.large_binary()), 3).to_pylist() == []
+
+
+def test_logistic_curve_converges():
+    """Classes that part well but for a few rows on the wrong side: the curve has the least loss, so its gradient is 0."""
+    x = np.arcsinh(np.array([-50, 0, 1, 2, 3, 5, 8, 12, 33, 13, 15, 17, 20, 25, 33, 50.0]))
+    y = np.array([0] * 9 + [1] * 7, float)
+    weight = np.array([9000, 5000, 5000, 800, 200, 160, 40, 16, 4, 2, 10, 60, 300, 800, 1500, 5000.0])
+    intercept, slope = T._logistic(x, y, weight)
+    p = 1 / (1 + np.exp(-intercept - slope * x))
+    assert abs(weight @ (y - p)) < 1e-2 and abs((weight * x) @ (y - p) - 1e-2 * slope) < 1e-2
+
+
 def test_toxicity_query(spark, small):
     out = T.op13_toxicity(spark, "/root/testdata/sf0.01")
     marks = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
