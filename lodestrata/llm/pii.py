@@ -31,8 +31,8 @@ CUE = {"email": "@", "ip": ".", "phone": "+"}
 _PART = "0*(?:[0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
 NOT_WORD = r"[^\p{L}\p{N}]++"
 SPAN = "array<struct<kind: string, begin: int, end: int, value: string>>"
-#: A table of so many terms or documents at most may be broadcast (some 20 MB).
-SMALL_ROWS = 200_000
+#: A table of so many terms or entities and bytes at most may be broadcast; each row counts for so many bytes and its strings.
+SMALL_ROWS, SMALL_BYTES, ROW_BYTES = 200_000, 16 << 20, 64
 
 
 def _digits(value: Column) -> Column:
@@ -161,14 +161,42 @@ def _words(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(text), NOT_WORD), lambda w: w != ""))
 
 
-def _at_hand(df: DataFrame, name: str) -> DataFrame:
-    """Written, and broadcast if it is small."""
-    df = keep(df, name)
-    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+def _fold(text: Column) -> Column:
+    """Equal for texts that match each other whatever the case, as patterns with (?iu) compare letters."""
+    return F.upper(F.translate(text, "\u0130\u212a\u1e9e\u212b\u2126\u03f4", "ikßåωθ"))
+
+
+def _folded_words(text: Column) -> Column:
+    return F.array_distinct(F.filter(F.split(_fold(F.array_join(F.split(text, NOT_WORD), " ")), " "), lambda w: w != ""))
+
+
+def _small(df: DataFrame) -> bool:
+    """Whether a kept table of strings and numbers may be broadcast."""
+    strings = [F.octet_length(c) for c, kind in df.dtypes if kind == "string"]
+    n, size = df.agg(F.count("*"), F.coalesce(F.sum(sum(strings, F.lit(ROW_BYTES))), F.lit(0))).first()
+    return n <= SMALL_ROWS and size <= SMALL_BYTES
+
+
+def _at_hand(df: DataFrame) -> DataFrame:
+    """A kept table, to be broadcast if it is small; Spark goes by the size of its files, which may be a small part of its rows'."""
+    return F.broadcast(df) if _small(df) else df.hint("merge")
+
+
+def _bodies(found: DataFrame, *columns: str) -> DataFrame:
+    """Equal texts hold the same entities and words: one row that counts as often as the text occurs."""
+    return found.filter(F.size("entities") > 0).groupBy("body").agg(F.count("*").alias("times"), *[F.first(c).alias(c) for c in columns])
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, text: str, min_support: int, remove_at: float, generalise_at: float) -> DataFrame:
-    """``entity, removed, generalised``: the terms of the corpus that reveal each entity.
+    """``entity, removed, generalised``: the terms of the corpus that reveal each entity, as lists."""
+    rated, _ = rated_terms(docs, found, text, min_support, generalise_at)
+    pick = lambda test: F.sort_array(F.collect_set(F.when(test, F.col("term"))))
+    return rated.groupBy("entity").agg(pick(F.col("ratio") >= remove_at).alias("removed"), pick(F.col("ratio") < remove_at).alias("generalised"))
+
+
+def rated_terms(docs: DataFrame, found: DataFrame, text: str, min_support: int, generalise_at: float) -> tuple[DataFrame, DataFrame]:
+    """``entity, term, ratio``: the terms of the corpus that reveal each entity; and ``body, entity``: which texts hold which
+    entities of ``min_support`` documents.
 
     ``found`` has a row for each document: ``body``, equal for equal texts only, its ``entities`` and, if it has any, its
     ``words``.  All counts are of whole documents.  With N documents a ratio is 1 + log2(n_both / n_term) / log2(N /
@@ -176,32 +204,46 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, text: str, min_support:
     ratio of g.  What this bound and ``min_support`` rule out is left out before terms and entities are paired.
     """
     n_docs = F.lit(float(max(found.count(), 1)))
-    # Equal texts hold the same entities and words: one row that counts as often as the text occurs.
-    bodies = found.filter(F.size("entities") > 0).groupBy("body").agg(F.count("*").alias("times"), F.first("entities").alias("entities"), F.first("words").alias("words"))
+    bodies = _bodies(found, "entities", "words")
     holds = bodies.select("body", "times", F.explode("entities").alias("entity"))
     of_entity = holds.groupBy("entity").agg(F.sum("times").alias("n_entity")).filter(F.col("n_entity") >= min_support)
     # A little more than the bound, for rounding.
     most = F.pow(F.col("n_entity"), F.lit(float(generalise_at))) * F.pow(n_docs, F.lit(1.0 - generalise_at)) * 1.000001
-    holds = keep(holds.join(_at_hand(of_entity.withColumn("most", most), "of_entity"), "entity"), "holds")
+    holds = keep(holds.join(_at_hand(keep(of_entity.withColumn("most", most), "of_entity")), "entity"), "holds")
     bounds = holds.groupBy("body").agg(F.max("most").alias("most"))
     has = keep(bodies.join(bounds, "body").select("body", "times", "most", F.explode("words").alias("term")), "has")
     # In documents of entities a term is no more frequent than in all.
     terms = has.groupBy("term").agg(F.sum("times").alias("n"), F.max("most").alias("most")).filter((F.col("n") >= min_support) & (F.col("n") <= F.col("most")))
     terms = keep(terms.select("term", "most"), "terms")
     words = docs.select(F.explode(_words(F.col(text))).alias("term"))
-    if terms.count() <= SMALL_ROWS:
+    if _small(terms):
         of_term = words.join(F.broadcast(terms), "term").groupBy("term", "most").agg(F.count("*").alias("n_term"))
     else:
-        of_term = words.groupBy("term").agg(F.count("*").alias("n_term")).join(terms, "term")
-    of_term = _at_hand(of_term.filter(F.col("n_term") <= F.col("most")).select("term", "n_term"), "of_term")
+        of_term = words.groupBy("term").agg(F.count("*").alias("n_term")).join(terms.hint("merge"), "term")
+    of_term = _at_hand(keep(of_term.filter(F.col("n_term") <= F.col("most")).select("term", "n_term"), "of_term"))
     rare = has.join(of_term, "term").filter(F.col("n_term") <= F.col("most")).select("body", "term", "n_term")
     pairs = holds.join(rare, "body").filter(F.col("n_term") <= F.col("most"))
     pairs = pairs.groupBy("entity", "n_entity", "term", "n_term").agg(F.sum("times").alias("n_both")).filter(F.col("n_both") >= min_support)
     information = -F.log2(F.col("n_entity") / n_docs)
     mutual = F.log2(F.col("n_both") * n_docs / (F.col("n_entity") * F.col("n_term")))
     rated = pairs.withColumn("ratio", F.when(information > 0, mutual / information).otherwise(0.0)).filter(F.col("ratio") >= generalise_at)
-    pick = lambda test: F.sort_array(F.collect_set(F.when(test, F.col("term"))))
-    return rated.groupBy("entity").agg(pick(F.col("ratio") >= remove_at).alias("removed"), pick(F.col("ratio") < remove_at).alias("generalised"))
+    return rated.select("entity", "term", "ratio"), holds.select("body", "entity")
+
+
+def terms_of_texts(found: DataFrame, holds: DataFrame, rated: DataFrame, remove_at: float) -> DataFrame:
+    """``body, removed, generalised``: of the terms that reveal an entity of a text, those that the text may hold.
+
+    What an entity's terms are grows with its documents, so a text isn't given all of them: they meet its own ``folded``
+    words by entity and word.  ``rated`` is kept, and has the folded ``term`` as ``fold``.  Words are of letters and digits, so
+    a term that a pattern would find with U+0345, no letter, for an iota is left.
+    """
+    seen = _bodies(found, "folded").select("body", F.explode("folded").alias("fold"))
+    seen = seen.join(_at_hand(keep(rated.select("fold").distinct(), "folds")), "fold", "left_semi")
+    held = holds.join(_at_hand(keep(rated.select("entity").distinct(), "risky")), "entity", "left_semi")
+    own = seen.join(held.hint("merge"), "body").join(_at_hand(rated), ["entity", "fold"])
+    own = own.groupBy("body", "term").agg(F.max("ratio").alias("ratio"))
+    pick = lambda test: F.collect_list(F.when(test, F.col("term")))
+    return own.groupBy("body").agg(pick(F.col("ratio") >= remove_at).alias("removed"), pick(F.col("ratio") < remove_at).alias("generalised"))
 
 
 def _terms_pattern(terms: Column) -> Column:
@@ -221,29 +263,27 @@ def find_private(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mi
     spans.  An empty table gives no rows; other columns are not read, so their names can't clash.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("key", F.unhex(F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text"))))
     entities = F.array_distinct(F.flatten(F.transform("found", levels)))
     some = F.size("found") > 0
-    found = base_spans(rows).select("doc_id", "key", F.unhex(F.md5("text")).alias("body"), "found", entities.alias("entities"), F.when(some, _words(F.col("text"))).alias("words"), returned(F.when(some, sanitised(F.col("text"), F.col("found"))).otherwise(F.col("text"))).alias("sanitised"))
+    if_some = {"words": _words(F.col("text")), "folded": _folded_words(masked(F.col("text"), F.col("found"))), "text": F.col("text")}
+    found = base_spans(rows).select("doc_id", F.unhex(F.md5("text")).alias("body"), "found", entities.alias("entities"), *[F.when(some, c).alias(k) for k, c in if_some.items()], returned(F.when(some, sanitised(F.col("text"), F.col("found"))).otherwise(F.col("text"))).alias("sanitised"))
     found = keep(found, "found")
-    risky = disclosing_terms(rows, found, "text", min_support, remove_at, generalise_at)
-    # Which terms to look for in which documents; equal rows have one key.
-    held = found.filter(some).select("key", "found", "entities").dropDuplicates(["key"])
-    wanted = held.select("key", F.explode("entities").alias("entity")).join(risky, "entity").groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("removed"))).alias("removed"), F.array_distinct(F.flatten(F.collect_list("generalised"))).alias("generalised"))
-    wanted = keep(wanted.join(held.select("key", "found"), "key"), "wanted")
-    few = wanted.count() <= SMALL_ROWS
-    hit = rows.join(F.broadcast(wanted) if few else wanted, "key").select("key", "text", "found", "removed", F.array_except("generalised", "removed").alias("generalised")).dropDuplicates(["key"])
-    hit = hit.withColumn("masked", masked(F.col("text"), F.col("found")))
+    rated, holds = rated_terms(rows, found, "text", min_support, generalise_at)
+    rated = keep(rated.withColumn("fold", _fold(F.col("term"))), "rated")
+    wanted = keep(terms_of_texts(found, holds, rated, remove_at), "wanted")
+    # Documents with spans carry their texts to their terms; no others are shuffled.
+    hit = found.filter(some).join(wanted.hint("merge"), "body", "left")
+    hit = hit.withColumn("masked", F.when(F.col("removed").isNotNull(), masked(F.col("text"), F.col("found"))))
     spans = []
     for kind in ("removed", "generalised"):
         pattern = _terms_pattern(F.col(kind))
         matches = F.when(F.size(kind) > 0, F.regexp_extract_all("masked", pattern, F.lit(0))).otherwise(F.array().cast("array<string>"))
         hit = hit.withColumn(f"_{kind}", matches)
         spans.append(place(F.col("masked"), F.col(f"_{kind}"), pattern, "term" if kind == "removed" else "general"))
-    hit = hit.select("key", "text", "found", F.concat(*spans).alias("terms"))
-    hit = hit.select("key", "terms", returned(sanitised(F.col("text"), F.concat("found", "terms"))).alias("_less"))
-    out = found.select("doc_id", "key", "found", "sanitised").join(hit, "key", "left")
-    return out.select("doc_id", "found", F.coalesce("terms", F.array().cast(SPAN)).alias("terms"), F.coalesce("_less", "sanitised").alias("sanitised"))
+    hit = hit.select("doc_id", "text", "found", F.concat(*spans).alias("terms"), "sanitised")
+    less = F.when(F.size("terms") > 0, returned(sanitised(F.col("text"), F.concat("found", "terms")))).otherwise(F.col("sanitised"))
+    hit = hit.select("doc_id", "found", "terms", less.alias("sanitised"))
+    return hit.unionByName(found.filter(~some).select("doc_id", "found", F.array().cast(SPAN).alias("terms"), "sanitised"))
 
 
 def op4_pii(spark, sf_dir: str) -> DataFrame:

@@ -194,6 +194,27 @@ def test_disclosing_terms_by_counting(spark, monkeypatch, few, min_support):
     assert {r["entity"]: (set(r["removed"]), set(r["generalised"])) for r in got} == want
 
 
+def test_a_domain_with_many_terms(spark, monkeypatch):
+    """A text gets its own words of the 240 terms of its domain, and what is broadcast has few bytes."""
+    monkeypatch.setattr(pii, "SMALL_BYTES", 8000, raising=False)
+    sent = []
+    monkeypatch.setattr(F, "broadcast", lambda df, send=F.broadcast: (sent.append(df), send(df))[1])
+    own = [[f"word{chr(97 + g)}{chr(97 + i)}" for i in range(20)] for g in range(12)]
+    rows = [(3 * g + k, f"no {k} {' '.join(own[g])} u{g}@rare.example") for g in range(12) for k in range(3)] + [(100 + i, f"no {i % 3}") for i in range(300)]
+    out = pii.find_private(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: sorted(s["value"] for s in r["terms"]) for r in out} == {i: own[i // 3] if i < 36 else [] for i, _ in rows}
+    sizes = [df.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0 for df in sent]
+    assert sizes and max(sizes) < 16_000
+
+
+def test_terms_in_any_case_and_beside_spans(spark):
+    """Words are found that match a term by case folding only, or that a masked value cuts."""
+    found = ["silex istanbulx straßex vau", "Silex Istanbulx Straßex Vau", "SILEX ISTANBULX vau straßex", "\u017filex \u0130stanbulx STRA\u1e9eEX vau1.2.3.4"]
+    rows = [(i, f"the {t} x@rare.example") for i, t in enumerate(found)] + [(10 + i, f"the {i}") for i in range(60)]
+    out = pii.find_private(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: {s["value"] for s in r["terms"]} - {"x"} for r in out} == {i: set(found[i].replace("1.2.3.4", "").split()) if i < 4 else set() for i, _ in rows}
+
+
 MODEL = SP.model_bytes(P.path("piece_bpe_32k.model"))
 
 
